@@ -1,11 +1,14 @@
 """Monitoring inputs derived from the driver's tables, on Spark.
 
 Every view covers the whole table it is made from.  ``views_sql`` states the
-same views in SQL for the comparison.
+same views in SQL for the comparison.  A view is written to the shared folder
+once per application, the way a capture job would leave it: a table of several
+files.  Queries then scan, prune and filter real columns.
 """
 
 from __future__ import annotations
 
+import functools
 import io
 import zipfile
 
@@ -15,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docmonitor.functions.urls import event_key, is_zip
+from docmonitor.session import scratch_path
 
 SITE = "https://docs.example.org"
 START_URL = f"{SITE}/accueil.html"
@@ -25,6 +29,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_CAPTURED: dict = {}
+
+
+def captured(view):
+    """Derive a view once per application and data set; afterwards read it."""
+
+    @functools.wraps(view)
+    def read(spark: SparkSession, sf_dir: str) -> DataFrame:
+        key = (spark.sparkContext.applicationId, sf_dir, view.__name__)
+        if key not in _CAPTURED:
+            path = scratch_path(spark, view.__name__)
+            view(spark, sf_dir).write.parquet(path)
+            _CAPTURED[key] = path
+        return spark.read.parquet(_CAPTURED[key])
+
+    return read
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows over all cores, as a captured table of many files would be."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, *keys)
+
+
 def _pick(key: Column, *values) -> Column:
     """``values[key]`` as a CASE."""
     out = F.when(key == 0, values[0])
@@ -83,8 +110,9 @@ def docs_base_of(orders: DataFrame) -> DataFrame:
     )
 
 
+@captured
 def docs_base(spark, sf_dir) -> DataFrame:
-    return docs_base_of(table(spark, sf_dir, "orders"))
+    return docs_base_of(spread(table(spark, sf_dir, "orders"), "o_orderkey"))
 
 
 def docs_in(spark, sf_dir) -> DataFrame:
@@ -100,15 +128,17 @@ def _member_path() -> Column:
     )
 
 
+@captured
 def members_in(spark, sf_dir) -> DataFrame:
     """Archive members: the distinct lines of orders whose file is an archive."""
     archives = docs_base(spark, sf_dir).where(is_zip(F.col("source_file_url"))).drop("member_path")
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", _member_path().alias("member_path"))
     return lines.distinct().join(archives, F.col("l_orderkey") == F.col("crawl_seq")).select(
         F.col("source_file_url").alias("zip_url"), "member_path"
-    )
+    ).transform(spread, "zip_url", "member_path")
 
 
+@captured
 def seen_in(spark, sf_dir) -> DataFrame:
     """State of an earlier run: finished orders, and the first folder of every archive."""
     docs = docs_base(spark, sf_dir).where("status = 'F'").select(
@@ -127,6 +157,7 @@ def seen_in(spark, sf_dir) -> DataFrame:
     )
 
 
+@captured
 def headers_in(spark, sf_dir) -> DataFrame:
     """File headers; urgent orders were moved to another host."""
     url = F.col("source_file_url")
@@ -190,6 +221,7 @@ def _file_link(f) -> Column:
     )
 
 
+@captured
 def pages_in(spark, sf_dir) -> DataFrame:
     """``(url, html)``: start page, departments, paginated lists, projects."""
     projects = site_projects(spark, sf_dir)
@@ -257,7 +289,8 @@ def pages_in(spark, sf_dir) -> DataFrame:
         "<h1 class=\"big titre-article\">Projet n&deg;&nbsp;", F.col("k"), " &amp; annexes<!-- c --> x</h1>",
         "<div id='contenu'>", _blocks("files", _file_link), "<br><p>fin<p></div>",
     ).alias("html"))
-    return start.unionByName(departments).unionByName(lists).unionByName(project_pages)
+    site = start.unionByName(departments).unionByName(lists).unionByName(project_pages)
+    return spread(site, "url")
 
 
 # -- archives ---------------------------------------------------------------------
@@ -274,6 +307,7 @@ def make_zip(paths: pa.Array) -> pa.Array:
     return pa.array([_zip_bytes(p) for p in paths.to_pylist()], type=pa.binary())
 
 
+@captured
 def zip_files(spark, sf_dir) -> DataFrame:
     """A real archive per order: its lines as files, under a folder entry.
 
@@ -283,9 +317,10 @@ def zip_files(spark, sf_dir) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", F.expr("l_partkey div 8").alias("block"), _member_path().alias("path")
     ).distinct()
-    return lines.groupBy("l_orderkey", "block").agg(
+    archives = lines.groupBy("l_orderkey", "block").agg(
         F.sort_array(F.collect_list("path")).alias("paths")
-    ).select(
+    )
+    return spread(archives, "l_orderkey", "block").select(
         _html(f"{SITE}/zip/", F.col("l_orderkey"), "-", F.col("block"), ".zip").alias("zip_url"),
         make_zip(F.concat(F.array(F.lit("vide/")), F.col("paths"))).alias("content"),
     )

@@ -18,8 +18,10 @@ NO_CODES = "array<string>"
 
 
 def _fold(col: Column) -> Column:
-    """Case-folded text; the three letters ``lower`` does not fold on its own."""
-    return F.lower(F.translate(col, "ſıİ", "sii"))
+    """Case-folded text, with the three letters ``lower`` does not fold on its own."""
+    for letter, plain in (("ſ", "s"), ("ı", "i"), ("İ", "i")):
+        col = F.replace(col, F.lit(letter), F.lit(plain))
+    return F.lower(col)
 
 
 def _literal_map(pairs: dict) -> Column:
@@ -60,13 +62,12 @@ def dept_from_authority(authority: Column) -> Column:
 def dept_numbers(project: Column) -> Column:
     """Codes written as numbers in parentheses, in text order, repeats kept."""
     groups = F.regexp_extract_all(project, F.lit(ref.CODE_GROUP_PATTERN), F.lit(1))
-    codes = F.transform(
-        groups,
-        lambda g: F.regexp_extract_all(
-            F.translate(g, "+", " "), F.lit(ref.CODE_PATTERN), F.lit(1)
-        ),
-    )
-    return F.when(F.contains(project, F.lit("(")), F.flatten(codes)).otherwise(_empty())
+    # "(" cannot occur inside a group, so no code reaches across two of them
+    text = F.replace(F.array_join(groups, "("), F.lit("+"), F.lit(" "))
+    return F.when(
+        F.contains(project, F.lit("(")),
+        F.regexp_extract_all(text, F.lit(ref.CODE_PATTERN), F.lit(1)),
+    ).otherwise(_empty())
 
 
 def dept_names(project: Column) -> Column:

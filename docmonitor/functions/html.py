@@ -9,7 +9,8 @@ DataFrame expressions in ``operators.extract``.
 
 from __future__ import annotations
 
-from html.parser import HTMLParser
+import re
+from html import unescape
 
 import pyarrow as pa
 from pyspark.sql import Column
@@ -92,17 +93,54 @@ def _compile(path):
     return steps
 
 
-_PAGE_RULES = {kind: _compile(path) for kind, path in SELECTORS.items()}
-_BLOCK_RULES = {kind: (b, _compile(path)) for kind, (b, path) in BLOCK_SELECTORS.items()}
+def _by_last_step(rules):
+    """Rules under the class, or else the tag, of the element they select."""
+    index = {}
+    for kind, (block_kind, path) in rules.items():
+        steps = _compile(path)
+        _, tag, _, classes, _ = steps[-1]
+        index.setdefault("." + min(classes) if classes else tag, []).append(
+            (kind, block_kind, steps)
+        )
+    return index
+
+
+_RULES = _by_last_step({**{k: (None, path) for k, path in SELECTORS.items()}, **BLOCK_SELECTORS})
+
+# Tags (quotes count only as attribute delimiters), comments, declarations.
+_MARKUP = re.compile(
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|"
+    r"<(?P<end>/?)(?P<tag>[A-Za-z][^\s/>]*+)"
+    r"(?P<attrs>(?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>\"'][^\s>]*+)?+)*+)>",
+    re.DOTALL,
+)
+_ATTRIBUTE = re.compile(
+    r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?"
+)
+_RAW_END = {
+    tag: re.compile(rf"</{tag}(?=[\s/>])", re.IGNORECASE)
+    for tag in ("script", "style", "title", "textarea")
+}
+
+
+_NONE = frozenset()
 
 
 class _Element:
-    __slots__ = ("tag", "id", "classes", "href", "hits", "blocks")
+    __slots__ = ("tag", "id", "classes", "href", "hits")
 
     def __init__(self, tag, attrs):
-        self.tag, self.id, self.href = tag, attrs.get("id"), attrs.get("href")
-        self.classes = frozenset((attrs.get("class") or "").split())
-        self.hits, self.blocks = [], {}
+        self.tag, self.id, self.href, self.classes, self.hits = tag, None, None, _NONE, ()
+        if not attrs:
+            return
+        for name, *values in reversed(_ATTRIBUTE.findall(attrs)):  # the first one counts
+            name = name.lower()
+            if name == "class":
+                self.classes = frozenset(unescape("".join(values)).split())
+            elif name == "href":
+                self.href = unescape("".join(values))
+            elif name == "id":
+                self.id = unescape("".join(values))
 
 
 def _fits(element, step):
@@ -115,114 +153,132 @@ def _fits(element, step):
     )
 
 
-def _matches(stack, rule, floor=0):
+def _matches(stack, steps, floor=0):
     """Does the innermost element of ``stack`` match, outer steps from ``floor`` up?"""
 
-    def outer(at, step):  # step `step` must hold somewhere at or above `at`
+    def outer(at, step):  # steps[step] must hold at `at`, or above it unless `direct` below
         if step < 0:
             return True
-        spots = (at,) if rule[step + 1][0] else range(at, floor - 1, -1)
+        spots = (at,) if steps[step + 1][0] else range(at, floor - 1, -1)
         return any(
-            i >= floor and _fits(stack[i], rule[step]) and outer(i - 1, step - 1) for i in spots
+            i >= floor and _fits(stack[i], steps[step]) and outer(i - 1, step - 1) for i in spots
         )
 
     last = len(stack) - 1
-    return _fits(stack[last], rule[-1]) and outer(last - 1, len(rule) - 2)
+    return _fits(stack[last], steps[-1]) and outer(last - 1, len(steps) - 2)
 
 
-class _PageWalk(HTMLParser):
+class _PageWalk:
     """Collects hits while the page streams by; keeps only the open elements."""
 
     def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.stack, self.open_hits, self.text = [], [], []
+        self.stack, self.open_hits, self.open_blocks = [], [], []
         self.hits, self.counts = [], {}
 
-    # -- hits ------------------------------------------------------------------
-    def _hit(self, element, kind, block=None):
-        scope = (kind, block["pos"]) if block else kind
-        pos = self.counts[scope] = self.counts.get(scope, -1) + 1
-        hit = {"kind": kind, "pos": pos, "text": None, "own_text": None,
-               "href": element.href, "block": block, "link": None}
-        element.hits.append(hit)
-        self.open_hits.append(hit)
-        self.hits.append(hit)
-        return hit
-
-    def _flush_text(self):
-        """One text node ends here; it is the first for whoever still waits."""
-        if not self.text:
+    def read(self, page):
+        at = 0
+        while found := _MARKUP.search(page, at):
+            if found.start() > at:
+                self.text(page[at:found.start()])
+            at, tag = found.end(), found["tag"]
+            if tag is None:
+                continue
+            tag = tag.lower()
+            if found["end"]:
+                self.end(tag)
+                continue
+            self.start(tag, found["attrs"])
+            if tag in _RAW_END:
+                stop = _RAW_END[tag].search(page, at)
+                stop = stop.start() if stop else len(page)
+                if stop > at:
+                    self.text(page[at:stop])
+                at = stop
+        if at < len(page):
+            self.text(page[at:])
+        return self.hits
+
+    def text(self, raw):
+        """One text node: the first one for whoever still waits."""
+        if not self.open_hits:
             return
-        text, self.text = "".join(self.text), []
+        text = unescape(raw)
         for hit in self.open_hits:
             if hit["text"] is None:
                 hit["text"] = text
-        if self.stack:
-            for hit in self.stack[-1].hits:
-                if hit["own_text"] is None:
-                    hit["own_text"] = text
-
-    def _close(self, depth):
-        closing = sum(len(element.hits) for element in self.stack[depth:])
-        del self.open_hits[len(self.open_hits) - closing:]  # opened last, closed first
-        del self.stack[depth:]
-
-    # -- events ------------------------------------------------------------------
-    def handle_data(self, data):
-        self.text.append(data)
-
-    def handle_comment(self, data):
-        self._flush_text()
+        for hit in self.stack[-1].hits if self.stack else ():
+            if hit["own_text"] is None:
+                hit["own_text"] = text
 
-    def handle_starttag(self, tag, attrs):
-        self._flush_text()
+    def start(self, tag, attrs):
         closes = _CLOSED_BY.get(tag, ())
         while self.stack and self.stack[-1].tag in closes:
-            self._close(len(self.stack) - 1)
-        element = _Element(tag, dict(reversed(attrs)))
+            self.close(len(self.stack) - 1)
+        element = _Element(tag, attrs)
         self.stack.append(element)
-        for kind, rule in _PAGE_RULES.items():
-            if _matches(self.stack, rule):
-                element.blocks[kind] = self._hit(element, kind)
-        for kind, (block_kind, rule) in _BLOCK_RULES.items():
-            if _fits(element, rule[-1]):
-                for floor, outer in enumerate(self.stack):  # outermost block first
-                    if block_kind in outer.blocks and _matches(self.stack, rule, floor):
-                        self._hit(element, kind, outer.blocks[block_kind])
-                        break
+        for key in (tag, *("." + name for name in element.classes)):
+            for kind, block_kind, steps in _RULES.get(key, ()):
+                self.try_rule(element, kind, block_kind, steps)
         if tag == "a":
             for hit in self.open_hits:
                 if hit["link"] is None:
                     hit["link"] = element
         if tag in _VOID:
-            self._close(len(self.stack) - 1)
+            self.close(len(self.stack) - 1)
+
+    def try_rule(self, element, kind, block_kind, steps):
+        if block_kind is None:
+            if _matches(self.stack, steps):
+                self.hit(element, kind, None)
+            return
+        for depth, block in self.open_blocks:  # outermost first
+            if block["kind"] == block_kind and _matches(self.stack, steps, depth):
+                self.hit(element, kind, block)
+                return
+
+    def hit(self, element, kind, block):
+        scope = (kind, block["pos"]) if block else kind
+        pos = self.counts[scope] = self.counts.get(scope, -1) + 1
+        hit = {"kind": kind, "pos": pos, "text": None, "own_text": None,
+               "href": element.href, "block": block, "link": None}
+        element.hits = (*element.hits, hit)
+        self.open_hits.append(hit)
+        self.hits.append(hit)
+        if kind in _BLOCK_KINDS:
+            self.open_blocks.append((len(self.stack) - 1, hit))
 
-    def handle_endtag(self, tag):
-        self._flush_text()
+    def end(self, tag):
         rank = _RANK.get(tag, 100)
         for depth in range(len(self.stack) - 1, -1, -1):
             name = self.stack[depth].tag
             if name == tag:
-                return self._close(depth)
+                return self.close(depth)
             if _RANK.get(name, 100) > rank:
                 return None
         return None
 
+    def close(self, depth):
+        closing = sum(len(element.hits) for element in self.stack[depth:])
+        del self.open_hits[len(self.open_hits) - closing:]  # opened last, closed first
+        del self.stack[depth:]
+        while self.open_blocks and self.open_blocks[-1][0] >= depth:
+            self.open_blocks.pop()
+
+
+_BLOCK_KINDS = {block_kind for block_kind, _ in BLOCK_SELECTORS.values()}
+
 
-def _page_hits(html):
-    walk = _PageWalk()
-    walk.feed(html or "")
-    walk.close()
-    walk._flush_text()
+def _page_hits(page):
+    hits = _PageWalk().read(page or "")
     by_block = {}
-    for hit in walk.hits:
+    for hit in hits:
         if hit["block"] is not None:
             by_block.setdefault(id(hit["block"]), {}).setdefault(hit["kind"], []).append(hit)
     heading = next(
-        (h for h in walk.hits if h["kind"] == "title" and h["own_text"] is not None), None
+        (h for h in hits if h["kind"] == "title" and h["own_text"] is not None), None
     )
     rows = []
-    for hit in walk.hits:
+    for hit in hits:
         kind, block, layout, title = hit["kind"], hit["block"], None, None
         if block is not None and block["kind"] == "section":
             inside = by_block[id(block)]
@@ -232,7 +288,7 @@ def _page_hits(html):
             titles = (h["own_text"] for h in inside.get(f"{layout}_title", ()))
             title = next((t for t in titles if t is not None), None)
             kind = "section_link"
-        elif kind in ("menu", "section") or (kind == "title" and hit is not heading):
+        elif kind in _BLOCK_KINDS or (kind == "title" and hit is not heading):
             continue
         elif kind == "department":
             hit["href"] = hit["link"].href if hit["link"] else None

@@ -1,4 +1,8 @@
-"""Text clean-up of titles, project names and file names (native expressions)."""
+"""Text clean-up of titles, project names and file names (native expressions).
+
+``replace`` rather than ``translate``: the latter looks every character up in a
+map and takes many times as long on texts that need no change.
+"""
 
 from __future__ import annotations
 
@@ -17,14 +21,22 @@ def _rest(col: Column) -> Column:
     return F.substr(col, F.lit(2))
 
 
+def _bare_project(col: Column) -> Column:
+    text = F.replace(strip(col), F.lit("\u00a0"), F.lit(" "))
+    return F.rtrim(F.replace(text, F.lit("\u2019"), F.lit("'")), F.lit(".,"))
+
+
+def _bare_title(col: Column) -> Column:
+    return strip(F.rtrim(F.replace(col, F.lit("_"), F.lit(" ")), F.lit(".,")))
+
+
 def clean_project(col: Column) -> Column:
     """Readable project name.
 
     Not idempotent (a dot hidden behind a blank survives one pass), so apply it
     exactly once.  The costly pattern only runs on texts that can match it.
     """
-    text = F.translate(strip(col), "\u00a0\u2019", " '")
-    text = F.rtrim(text, F.lit(".,"))
+    text = _bare_project(col)
     text = F.when(
         F.contains(text, F.lit(") : ")),
         F.regexp_replace(text, ref.CITY_PREFIX_PATTERN, "$2 - $1"),
@@ -35,17 +47,24 @@ def clean_project(col: Column) -> Column:
 
 def clean_title(col: Column) -> Column:
     """Readable document title; dots and commas go before blanks do."""
-    text = strip(F.rtrim(F.translate(col, "_", " "), F.lit(".,")))
+    text = _bare_title(col)
     return F.concat(F.upper(F.left(text, F.lit(1))), _rest(text))
 
 
+def blank_project(col: Column) -> Column:
+    """Is ``clean_project(col)`` empty?  Without the patterns: moving the city
+    never empties a name."""
+    return F.coalesce(strip(_bare_project(col)), F.lit("")) == ""
+
+
+def blank_title(col: Column) -> Column:
+    """Is ``clean_title(col)`` empty?"""
+    return F.coalesce(_bare_title(col), F.lit("")) == ""
+
+
 def file_ext(filename: Column) -> Column:
     """Lower-cased extension with its dot, or ``''``; leading dots start none."""
-    bare = F.ltrim(filename, F.lit("."))
-    return F.when(
-        F.contains(bare, F.lit(".")),
-        F.concat(F.lit("."), F.lower(F.substring_index(bare, ".", -1))),
-    ).otherwise(F.when(filename.isNotNull(), F.lit("")))
+    return F.lower(F.regexp_extract(filename, r"(?s)^\.*[^.].*(\.[^.]*)$", 1))
 
 
 def original_ext(filename: Column) -> Column:

@@ -13,6 +13,17 @@ _SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:"
 _ORIGIN = r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*"
 
 
+# origin, folders, and then the segment up to its parameters
+_BASENAME = r"^(?:[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)?(?:[^?#]*/)?([^?#/;]*)"
+
+
+def without_breaks(url: Column) -> Column:
+    """URL without tabs and line breaks, which count for nothing in one."""
+    for char in "\t\r\n":
+        url = F.replace(url, F.lit(char), F.lit(""))
+    return url
+
+
 def _without_query(url: Column) -> Column:
     return F.substring_index(F.substring_index(url, "#", 1), "?", 1)
 
@@ -29,9 +40,7 @@ def is_zip(url: Column) -> Column:
 
 def url_basename(url: Column) -> Column:
     """Last path segment: not decoded, without query, fragment and ``;params``."""
-    clean = F.translate(url, "\t\r\n", "")
-    path = F.regexp_replace(_without_query(clean), _ORIGIN, "")
-    return F.substring_index(F.substring_index(path, "/", -1), ";", 1)
+    return F.regexp_extract(without_breaks(url), _BASENAME, 1)
 
 
 def source_filename(filename: Column, url: Column) -> Column:

@@ -42,14 +42,17 @@ def source_filename(df: DataFrame) -> DataFrame:
     )
 
 
-def beautify(df: DataFrame) -> DataFrame:
-    """Project and title clean-up; members of archives are titled by their path."""
-    raw_title = F.when(F.col("file_from_zip"), text.zip_title(F.col("member_path"))).otherwise(
+def _raw_title() -> Column:
+    return F.when(F.col("file_from_zip"), text.zip_title(F.col("member_path"))).otherwise(
         F.col("title")
     )
+
+
+def beautify(df: DataFrame) -> DataFrame:
+    """Project and title clean-up; members of archives are titled by their path."""
     return df.withColumns({
         "project": text.clean_project(F.col("project")),
-        "title": text.clean_title(raw_title),
+        "title": text.clean_title(_raw_title()),
     })
 
 
@@ -124,20 +127,22 @@ def _set_reason(df: DataFrame, *rules: tuple[Column, str]) -> DataFrame:
     return df.withColumn(DROP, F.coalesce(reason, found))
 
 
-def _blank(name: str) -> Column:
-    return F.coalesce(F.col(name), F.lit("")) == ""
-
-
 def quarantine(df: DataFrame) -> DataFrame:
-    """Mark rows that cannot become a document, before the limit counts them."""
+    """Mark rows that cannot become a document, before the limit counts them.
+
+    Looks at rows as they came in (before ``source_filename`` and ``beautify``):
+    each test is a cheap equivalent of "comes out empty", so filtering on the
+    reason does not pull the whole clean-up into the filter.
+    """
+    url = F.coalesce(F.nullif("source_filename", F.lit("")), F.col("source_file_url"))
     return _set_reason(
         df,
-        (_blank("department_from_scraper"), "No department code"),
-        (F.col("publication_ts").isNull(), "Bad Last-Modified"),
+        (departments.department_code(F.col("department_label")).isNull(), "No department code"),
+        (dates.http_timestamp(F.col("publication_lastmodified")).isNull(), "Bad Last-Modified"),
         (F.col("category_local").isNull(), "No category"),
-        (F.col("source_filename").isNull(), "No file URL"),
-        (_blank("project"), "Empty project"),
-        (_blank("title"), "Empty title"),
+        (url.isNull(), "No file URL"),
+        (text.blank_project(F.col("project")), "Empty project"),
+        (text.blank_title(_raw_title()), "Empty title"),
         (F.col("authority").isNull(), "No authority"),
     )
 
@@ -147,13 +152,14 @@ def quarantine_late(df: DataFrame) -> DataFrame:
     return _set_reason(
         df,
         (F.col("source_page_url").isNull(), "No page URL"),
-        (F.col("category").isNull(), "No category"),
+        (text.category(F.col("category_local")).isNull(), "No category"),
     )
 
 
 def supported_only(df: DataFrame, extensions) -> DataFrame:
-    """Mark files of other types."""
-    unsupported = ~text.file_ext(F.col("source_filename")).isin(*extensions)
+    """Mark files of other types, by given file name or else by URL."""
+    filename = urls.source_filename(F.col("source_filename"), F.col("source_file_url"))
+    unsupported = ~text.file_ext(filename).isin(*extensions)
     return _set_reason(df, (unsupported, ref.REASON_UNSUPPORTED))
 
 

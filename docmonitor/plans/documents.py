@@ -16,11 +16,15 @@ ORDER = ("crawl_seq", "member_path")
 def classify(df: DataFrame, params: RunParams) -> DataFrame:
     """Every input row, cleaned and tagged, with ``_drop_reason`` (null = accepted).
 
-    Row-wise up to the limit: a single stage of native expressions over the scan.
+    Reasons come first and from the raw columns, so a filter on them reaches the
+    scan and only rows that stay are cleaned.  No shuffle: with a limit, its cut
+    is one scalar found beforehand.
     """
     require_utc(df.sparkSession)
-    rows = (
-        df.withColumns({
+    rows = df.transform(D.quarantine).transform(D.supported_only, params.supported_extensions)
+    rows = D.limit_docs(rows, params.upload_limit, *ORDER).transform(D.quarantine_late)
+    return (
+        rows.withColumns({
             "department_from_scraper": department_code(F.col("department_label")),
             "source_scraper": F.lit(params.source_scraper),
         })
@@ -28,12 +32,6 @@ def classify(df: DataFrame, params: RunParams) -> DataFrame:
         .transform(D.categorize)
         .transform(D.source_filename)
         .transform(D.beautify)
-        .transform(D.quarantine)
-        .transform(D.supported_only, params.supported_extensions)
-    )
-    rows = D.limit_docs(rows, params.upload_limit, *ORDER)
-    return (
-        rows.transform(D.quarantine_late)
         .transform(D.tag_departments)
         .transform(D.project_id)
         .transform(D.event_key)
