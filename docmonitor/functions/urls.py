@@ -91,7 +91,8 @@ def resolve_url(base: Column, href: Column) -> Column:
         .when(F.startswith(href, F.lit("?")), F.concat(_without_query(base), href))
         .otherwise(F.concat(origin, path, suffix))
     )
-    # an empty query or fragment leaves no mark
+    # an empty query or fragment leaves no mark, but for links to another scheme
+    own = ~href.rlike(_SCHEME) | F.startswith(F.lower(href), F.lower(scheme))
     return F.when(
-        href.rlike(r"[?#]$"), F.regexp_replace(resolved, r"\??#?$", "")
+        own & href.rlike(r"[?#]$"), F.regexp_replace(resolved, r"\??#?$", "")
     ).otherwise(resolved)
