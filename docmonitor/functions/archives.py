@@ -46,7 +46,10 @@ def _listing(content):
     return {"error": None, "members": members}
 
 
-@F.arrow_udf(LISTING)
-def zip_listing(content: pa.Array) -> pa.Array:
-    """Reads only each archive's table of contents; nothing is extracted."""
+def _listings(content: pa.Array) -> pa.Array:
     return pa.array([_listing(c.as_buffer()) for c in content], type=_ARROW_LISTING)
+
+
+# Reads only each archive's table of contents; nothing is extracted.  Declared
+# non-deterministic so that a filter on the result does not list it once more.
+zip_listing = F.arrow_udf(_listings, LISTING).asNondeterministic()

@@ -3,7 +3,7 @@
 ``html_hits`` is the only place html is parsed: an Arrow function that walks a
 page once and returns the few elements the monitoring rules name, tagged with
 the rule (``kind``) and with the block they sit in.  Everything that gives those
-elements a meaning (first menu only, layouts, years, absolute URLs) is left to
+elements a meaning (first menu only, layouts, years, following) is left to
 DataFrame expressions in ``operators.extract``.
 """
 
@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import re
 from html import unescape
+from urllib.parse import urljoin
 
 import pyarrow as pa
 from pyspark.sql import Column
@@ -26,6 +27,7 @@ HIT = T.StructType([
     T.StructField("text", T.StringType()),
     T.StructField("own_text", T.StringType()),
     T.StructField("href", T.StringType()),
+    T.StructField("abs_url", T.StringType()),
 ])
 
 # --- Fixed values: where the site puts things --------------------------------
@@ -268,8 +270,17 @@ class _PageWalk:
 _BLOCK_KINDS = {block_kind for block_kind, _ in BLOCK_SELECTORS.values()}
 
 
-def _page_hits(page):
+def _absolute(base, href):
+    try:
+        return None if href is None else urljoin(base, href.strip())
+    except ValueError:  # not a URL at all
+        return None
+
+
+def _page_hits(page, url):
     hits = _PageWalk().read(page or "")
+    base = next((h["href"] for h in hits if h["kind"] == "base"), "")
+    base = _absolute(url or "", base)
     by_block = {}
     for hit in hits:
         if hit["block"] is not None:
@@ -288,12 +299,12 @@ def _page_hits(page):
             titles = (h["own_text"] for h in inside.get(f"{layout}_title", ()))
             title = next((t for t in titles if t is not None), None)
             kind = "section_link"
-        elif kind in _BLOCK_KINDS or (kind == "title" and hit is not heading):
+        elif kind in _BLOCK_KINDS or kind == "base" or (kind == "title" and hit is not heading):
             continue
         elif kind == "department":
             hit["href"] = hit["link"].href if hit["link"] else None
         rows.append((kind, block["pos"] if block else None, layout, title, hit["pos"],
-                     hit["text"], hit["own_text"], hit["href"]))
+                     hit["text"], hit["own_text"], hit["href"], _absolute(base, hit["href"])))
     return rows
 
 
@@ -304,10 +315,13 @@ _ARROW_HITS = pa.list_(pa.struct([
 
 
 @F.arrow_udf(T.ArrayType(HIT))
-def html_hits(html: pa.Array) -> pa.Array:
+def html_hits(html: pa.Array, url: pa.Array) -> pa.Array:
     """Tagged elements of each page."""
     return pa.array(
-        [[dict(zip(_NAMES, row)) for row in _page_hits(page.as_py())] for page in html],
+        [
+            [dict(zip(_NAMES, row)) for row in _page_hits(page.as_py(), address.as_py())]
+            for page, address in zip(html, url)
+        ],
         type=_ARROW_HITS,
     )
 

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from docmonitor.functions import html as H
 from docmonitor.functions.text import strip
-from docmonitor.functions.urls import resolve_url
 
 KINDS = tuple(H.MARKERS)
 
@@ -27,20 +26,10 @@ def page_hits(pages: DataFrame, kinds=KINDS) -> DataFrame:
     found = (
         pages.select("url", "html")
         .where(H.may_have(F.col("html"), kinds))
-        .select("url", H.html_hits("html").alias("hits"))
-    )
-    base = F.get(F.filter("hits", lambda h: h.kind == "base"), F.lit(0)).href
-    rows = found.select(
-        "url",
-        F.when(base.isNull(), F.col("url"))
-        .otherwise(resolve_url(F.col("url"), strip(base)))
-        .alias("base_url"),
-        F.inline("hits"),
-    ).where(F.col("kind").isin(*kinds))
-    return rows.select(
-        "url", *H.HIT.fieldNames(),
-        resolve_url(F.col("base_url"), strip(F.col("href"))).alias("abs_url"),
+        .select("url", H.html_hits("html", "url").alias("hits"))
     )
+    # not `inline`: Spark would test the list for emptiness by parsing twice
+    return found.select("url", F.inline_outer("hits")).where(F.col("kind").isin(*kinds))
 
 
 def _of(source: DataFrame, kind: str) -> DataFrame:

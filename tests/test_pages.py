@@ -11,7 +11,7 @@ SITE = "https://a.fr/"
 
 
 def hits(html):
-    return [(r[0], *r[1:]) for r in _page_hits(html)]
+    return [(r[0], *r[1:]) for r in _page_hits(html, SITE)]
 
 
 def pages_table(spark, **pages):
