@@ -16,9 +16,9 @@ from functools import lru_cache
 
 import numpy as np
 
-CACHE_WORDS = 300_000
+CACHE_WORDS = 600_000
 CACHED_WORD_CHARS = 48
-BATCH_CHARS = 1 << 16
+BATCH_CHARS = 1 << 18
 ROW_WORDS = 64
 INNER_SPACE = re.compile(r"(?<=\S) (?=\S)")
 MARKED = re.compile(r"[\s\x01]")
@@ -47,10 +47,13 @@ class Generations:
 
     def missing(self, words: set) -> set:
         """The words that neither half has; those of the old half move on."""
-        words = words - self.new.keys()
-        for w in words & self.old.keys():
-            self.new[w] = self.old[w]
-        return words - self.new.keys()
+        new, old, missing = self.new, self.old, set()
+        for w in [w for w in words if w not in new]:  # not words - new.keys(), which walks all of new
+            if w in old:
+                new[w] = old[w]
+            else:
+                missing.add(w)
+        return missing
 
 
     def turn(self) -> None:
