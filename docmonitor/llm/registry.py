@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from docmonitor.llm.dac import op2_token_id_files
 from docmonitor.llm.gam import op8_quality_classifier
+from docmonitor.llm.mixing import op1_mix_sources
 from docmonitor.llm.packing import op4_best_fit_packing
 from docmonitor.llm.quality_rules import op3_quality_rules
 from docmonitor.llm.token_counts import op6_token_counts
 from docmonitor.llm.warc import OP10_SQL, op10_warc
 
 QUERIES = {f.__name__: f for f in (
-    op2_token_id_files, op3_quality_rules, op4_best_fit_packing, op6_token_counts, op8_quality_classifier,
+    op1_mix_sources, op2_token_id_files, op3_quality_rules, op4_best_fit_packing, op6_token_counts, op8_quality_classifier,
     op10_warc,
 )}
 
