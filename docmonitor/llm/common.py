@@ -39,6 +39,12 @@ def rows_of_all(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
             yield from rows_of(batch)
 
 
+def one_task_each(rows: DataFrame, most: int = 20_000) -> DataFrame:
+    """Deals out a table of few rows with much work behind each; adaptive execution, which
+    sees only the rows' bytes, doesn't put them together again."""
+    return rows.repartition(max(1, min(most, rows.count())))
+
+
 def arrow_schema(ddl: dict[str, pa.DataType]) -> pa.Schema:
     return pa.schema(list(ddl.items()))
 

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docmonitor.llm.common import (
-    arrow_schema, open_folder, read_table, rows_of_all, small_batches, text_or_empty, tokenizer_path,
+    arrow_schema, one_task_each, open_folder, read_table, rows_of_all, small_batches, text_or_empty, tokenizer_path,
 )
 from docmonitor.llm.tokens import batches, encoder
 from docmonitor.session import materialise, scratch_path
@@ -203,7 +203,7 @@ def read_tokens(manifest: DataFrame) -> DataFrame:
                     })
                     i = j
 
-    files = with_starts(manifest).select("path", "file_start").repartition("path")
+    files = one_task_each(with_starts(manifest).select("path", "file_start"))
     return files.mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 

@@ -160,7 +160,7 @@ def search(vectors: DataFrame, is_query, k: int = K, least_seen: int = LEAST_SEE
             mixed = pdf["vid"].to_numpy().astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)
             yield pdf.assign(chunk=mixed.astype(np.int64) % n[pdf["c1"]])
 
-    probes = queries.repartition("qid").mapInPandas(probe, "qid long, v array<double>, c1 int, chunk int, c2s array<int>")
+    probes = queries.repartition(max(1, -(-queries.count() // QUERY_BLOCK))).mapInPandas(probe, "qid long, v array<double>, c1 int, chunk int, c2s array<int>")
     members = placed.select("vid", "v", "c1", "c2").mapInPandas(cut, "vid long, v array<double>, c1 int, c2 int, chunk int")
 
     def rank(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:

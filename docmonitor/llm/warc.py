@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docmonitor.llm.common import arrow_schema, open_folder, read_table, rows_of_all, small_batches
+from docmonitor.llm.common import arrow_schema, one_task_each, open_folder, read_table, rows_of_all, small_batches
 from docmonitor.session import materialise, scratch_path
 
 MAGIC = b"\x1f\x8b\x08"
@@ -211,7 +211,7 @@ def read_warc(manifest: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFrame:
     first = F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.col("bytes") - 1, F.lit(0)), F.lit(split_bytes).cast("long")))
     ranges = manifest.select("path", "bytes", first.alias("first")).select(
         "path", "bytes", "first", F.least(F.col("first") + split_bytes, F.col("bytes")).alias("last"))
-    return ranges.repartition("path", "first").mapInArrow(read, RECORDS_DDL)
+    return one_task_each(ranges).mapInArrow(read, RECORDS_DDL)
 
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
