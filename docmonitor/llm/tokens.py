@@ -45,33 +45,25 @@ class Generations:
         self.new: dict = {}
         self.old: dict = {}
 
-    def missing(self, words: set) -> set:
-        """The words that neither half has; those of the old half move on."""
-        new, old, missing = self.new, self.old, set()
-        for w in [w for w in words if w not in new]:  # not words - new.keys(), which walks all of new
-            if w in old:
-                new[w] = old[w]
-            else:
-                missing.add(w)
-        return missing
-
+    def find(self, words: set) -> tuple[dict, list]:
+        """What either half has, as a small mapping of its own, and the words that neither has."""
+        new, old, found, missing = self.new, self.old, {}, []
+        for w in words:
+            value = new.get(w)
+            if value is None:
+                value = old.get(w)
+                if value is None:
+                    missing.append(w)
+                    continue
+                new[w] = value
+            found[w] = value
+        return found, missing
 
     def turn(self) -> None:
         if len(self.new) > CACHE_WORDS:
             self.old, self.new = self.new, {}
 
 
-class Extra(dict):
-    """A few words beside a cache."""
-
-    def __init__(self, words: dict, cache: dict):
-        super().__init__(words)
-        self.cache = cache
-
-    def __missing__(self, word):
-        return self.cache[word]
-
-
 class WordEncoder:
     """Encodes texts word by word with one of the public tokenizers.
 
@@ -123,27 +115,26 @@ class WordEncoder:
         """Each text's words, and a mapping that has all of them."""
         split = [(t.replace("\n", " ") if self.drops_space else t).split(" ") for t in texts]
         cache.turn()
-        missing = cache.missing(set().union(*split))
+        found, missing = cache.find(set().union(*split))
         odd = set() if self.drops_space else {w for w in missing if not w or w[0].isspace() or w[-1].isspace()}
         if odd:  # rare: these texts are cut more carefully
             split = [INNER_SPACE.split(t) if not odd.isdisjoint(words) else words
                      for t, words in zip(texts, split)]
-            missing = cache.missing(set().union(*split))
-        if not missing:
-            return split, cache.new
-        got = encode(list(missing), self.before)
-        kept = {w: v for w, v in got.items() if len(w) <= CACHED_WORD_CHARS and (
-            self.drops_space or w and not w[0].isspace() and not w[-1].isspace())}
-        cache.new.update(kept)
-        return split, cache.new if len(kept) == len(got) else Extra(got, cache.new)
+            found, missing = cache.find(set().union(*split))
+        if missing:
+            got = encode(missing, self.before)
+            found.update(got)
+            cache.new.update((w, v) for w, v in got.items() if len(w) <= CACHED_WORD_CHARS and (
+                self.drops_space or w and not w[0].isspace() and not w[-1].isspace()))
+        return split, found
 
     def _ids_of(self, words: list[str], before: str) -> dict[str, bytes]:
         """Ids of words; a stop or comma behind a letter is a pre-token of its own."""
         tails = {w: w[:-1] for w in words if w[-1:] in (".", ",") and w[-2:-1].isalpha()}
-        bare = self.ids.missing(set(tails.values()).union(w for w in words if w not in tails))
+        stems, bare = self.ids.find(set(tails.values()).union(w for w in words if w not in tails))
         got = {w[len(before):]: ids for w, ids in self._ids([before + w for w in bare]).items()}
         for w, stem in tails.items():
-            got[w] = (got.get(stem) or self.ids.new[stem]) + self.tails[w[-1]]
+            got[w] = (got.get(stem) or stems[stem]) + self.tails[w[-1]]
         return got
 
     def _ids(self, words: list[str]) -> dict[str, bytes]:
