@@ -65,7 +65,7 @@ def dedupe_lines(docs: DataFrame, least_sites: int = LEAST_SITES, least_words: i
     is lost from the corpus; shorter lines stay as they are.  A null text stays null.  Equal
     rows are treated alike.  Own columns called ``n_lines`` or ``n_removed`` are replaced.
     """
-    lines = line_rows(docs, least_words)
+    lines = materialise(line_rows(docs, least_words), "lines")  # hashes, not texts: read three times below
     spread = materialise(spread_lines(lines, least_sites), "spread-lines")
     hits = lines.join(spread, ["h1", "h2"]).where(~(
         F.col("first.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("first.row_key") == F.col("row_key"))
