@@ -47,16 +47,14 @@ class Generations:
 
     def find(self, words: set) -> tuple[dict, list]:
         """What either half has, as a small mapping of its own, and the words that neither has."""
-        new, old, found, missing = self.new, self.old, {}, []
-        for w in words:
-            value = new.get(w)
+        new, get_old, missing = self.new, self.old.get, []
+        found = dict(zip(words, map(new.get, words)))
+        for w in [w for w, value in found.items() if value is None]:
+            value = get_old(w)
             if value is None:
-                value = old.get(w)
-                if value is None:
-                    missing.append(w)
-                    continue
-                new[w] = value
-            found[w] = value
+                missing.append(w)
+            else:
+                new[w] = found[w] = value
         return found, missing
 
     def turn(self) -> None:
