@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+import tempfile
 import time
 import traceback
 
@@ -22,6 +23,8 @@ def session(cores: str = "8"):
         .config("spark.sql.shuffle.partitions", "8").config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()
     )
+    if not spark.conf.get("spark.checkpoint.dir", ""):  # one machine: any folder is shared
+        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="docmonitor-"))
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 

@@ -303,4 +303,5 @@ UNION ALL SELECT project, id, true FROM created""",
     "published_after_run": on_new("SELECT CAST(0 AS BIGINT) AS batch, event_data_key, project_id FROM accepted"),
 }
 ORACLE["monitor_stream"] = ORACLE["monitor_run"]
+ORACLE["monitor_mixed"] = ORACLE["monitor_run"]
 ORACLE["tag_departments"] = ORACLE["tag_departments"].replace(Q.DOCS.replace("docs_base AS", "_unused AS") + ",\n", "")

@@ -463,8 +463,10 @@ def tag_departments(spark, sf):
 # -- aggregates and state ------------------------------------------------------------------
 @query
 def zip_supported_files(spark, sf):
+    """Shown as one list an archive; the operator itself gives a row a file."""
     files = J.zip_supported_files(V.members_in(spark, sf), PARAMS.supported_extensions)
-    return files.withColumns(joined("supported_files"))
+    lists = files.groupBy("zip_url").agg(F.sort_array(F.collect_list("member_path")).alias("supported_files"))
+    return lists.withColumns(joined("supported_files"))
 
 
 def _second_run(spark, sf, limit=0):
@@ -556,7 +558,29 @@ def monitor_stream(spark, sf):
     files = V.docs_base_of(arriving).drop("status", "priority")
 
     def start(params):
-        stream_monitor(files, V.members_in(spark, sf), params, root).awaitTermination()
+        stream_monitor(
+            files, V.members_in(spark, sf), params, root, clock=lambda: RUN_TS
+        ).awaitTermination()
+
+    return _written_run(spark, sf, root, start)
+
+
+@query
+def monitor_mixed(spark, sf):
+    """Finished orders' files in a batch run, all files then as a stream on the same root."""
+    root = scratch_path(spark, "monitor-mixed")
+    orders = V.table(spark, sf, "orders")
+    arriving = pages_src.stream_pages(spark, sf, orders.schema, pathGlobFilter="orders.parquet")
+    files = V.docs_base_of(arriving).drop("status", "priority")
+
+    def start(params):
+        run_monitor(
+            V.docs_base_of(orders).where("status = 'F'").drop("status", "priority"),
+            V.members_in(spark, sf), params, root, 0,
+        )
+        stream_monitor(
+            files, V.members_in(spark, sf), params, root, clock=lambda: RUN_TS
+        ).awaitTermination()
 
     return _written_run(spark, sf, root, start)
 

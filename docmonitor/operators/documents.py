@@ -12,7 +12,6 @@ from docmonitor.session import materialise
 
 DROP = "_drop_reason"
 # Orders past this many rows per task are ranked by range, not by a top-n heap.
-TOP_N_ROWS = 5_000
 # Rows one task sorts when a limit is located inside a range.
 ROWS_PER_RANGE = 1_000_000
 
@@ -164,13 +163,20 @@ def supported_only(df: DataFrame, extensions) -> DataFrame:
 
 
 def _nth_key(rows: DataFrame, n: int, order: list[str]) -> Column:
-    """Scalar: the n-th smallest order key, the largest one if there are fewer."""
-    key = F.struct(*order).alias("_key")
-    keys = rows.select(*order)
-    if n <= TOP_N_ROWS:
-        return keys.orderBy(*order).limit(n).agg(F.max(key)).scalar()
-    ranked = materialise(global_rank(keys, *order), "limit-ranks")
-    return ranked.where(F.col("rank") <= n).agg(F.max(key)).scalar()
+    """Scalar: the n-th smallest order key, the largest one if there are fewer.
+
+    The keys are range-partitioned and written; counts, one number a range, tell which
+    range holds the n-th, and only that one is sorted.
+    """
+    placed = _in_ranges(rows.select(*order), order)
+    before, at, wanted = 0, None, n
+    for r in placed.groupBy("_range").count().orderBy("_range").toLocalIterator():  # one row a range
+        at, wanted = r["_range"], n - before
+        if before + r["count"] >= n:
+            break
+        before += r["count"]
+    inside = placed.where(F.col("_range") == F.lit(at)).orderBy(*order).limit(wanted)
+    return inside.agg(F.max(F.struct(*order)).alias("_key")).scalar()
 
 
 def limit_docs(df: DataFrame, n: int, *order: str) -> DataFrame:
@@ -194,13 +200,7 @@ def global_rank(df: DataFrame, *order: str) -> DataFrame:
     Rows are range-partitioned once and that layout is written down; per-range
     counts (one row a range) give each range its offset.
     """
-    spark = df.sparkSession
-    rows = materialise(df, "rank-input")
-    ranges = max(spark.sparkContext.defaultParallelism, -(-rows.count() // ROWS_PER_RANGE))
-    placed = materialise(
-        rows.repartitionByRange(ranges, *order).withColumn("_range", F.spark_partition_id()),
-        "ranges",
-    )
+    placed = _in_ranges(df, list(order))
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = placed.groupBy("_range").count().select(
         "_range", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_offset")
@@ -214,6 +214,16 @@ def global_rank(df: DataFrame, *order: str) -> DataFrame:
     )
 
 
+def _in_ranges(df: DataFrame, order: list[str]) -> DataFrame:
+    """The rows with ``_range``, rising with ``order``, as a written table."""
+    rows = materialise(df, "rank-input")
+    ranges = max(df.sparkSession.sparkContext.defaultParallelism, -(-rows.count() // ROWS_PER_RANGE))
+    return materialise(
+        rows.repartitionByRange(ranges, *order).withColumn("_range", F.spark_partition_id()),
+        "ranges",
+    )
+
+
 def kept(df: DataFrame) -> DataFrame:
     return df.where(F.col(DROP).isNull()).drop(DROP)
 

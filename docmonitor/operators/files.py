@@ -99,16 +99,8 @@ def supported_members(members: DataFrame, extensions) -> DataFrame:
 
 
 def zip_supported_files(members: DataFrame, extensions) -> DataFrame:
-    """Supported files per archive, seen or not.
-
-    The list of one archive is bounded by the archive.  Nothing else needs it as
-    a list: completeness works on the rows.
-    """
-    return (
-        supported_members(members, extensions)
-        .groupBy("zip_url")
-        .agg(F.sort_array(F.collect_list("member_path")).alias("supported_files"))
-    )
+    """``(zip_url, member_path)`` of the supported files of every archive, seen or not."""
+    return supported_members(members, extensions).select("zip_url", "member_path")
 
 
 def complete_zips(
@@ -117,31 +109,15 @@ def complete_zips(
     """Archives finished by this run: ``(zip_url)``.
 
     Something of the archive was accepted now, and every supported member is a
-    known document, old or new.  Joins on the member key, which is near unique
-    even when one archive holds most members; the per-archive step is a partial
-    aggregate of two flags.
+    known document, old or new.  Members of the touched archives that neither the run nor
+    the state has name the unfinished ones; the others are done.  The state is only looked
+    up, on the near-unique member key, never aggregated.
     """
-    new = accepted.where("file_from_zip").select(
-        F.col("event_data_key").alias("_key"), F.lit(True).alias("_new")
-    )
-    old = seen.where(F.col("kind") == DOCUMENTS).select(
-        F.col("key").alias("_key"), F.lit(False).alias("_new")
-    )
-    known = old.unionByName(new).groupBy("_key").agg(F.bool_or("_new").alias("_new"))
+    inside = accepted.where("file_from_zip")
+    touched = inside.select(F.col("source_file_url").alias("zip_url")).distinct()
+    new = inside.select(F.col("event_data_key").alias("_key"))
     key = event_key(F.lit(True), F.col("zip_url"), F.col("member_path"))
-    touched = accepted.where("file_from_zip").select(
-        F.col("source_file_url").alias("zip_url")
-    ).distinct()
-    # a repeated accepted key must not multiply members, hence the groupBy above
-    return (
-        supported_members(members, extensions)
-        .join(touched, "zip_url", "left_semi")
-        .join(known, key == F.col("_key"), "left")
-        .groupBy("zip_url")
-        .agg(
-            F.bool_and(F.col("_key").isNotNull()).alias("_all"),
-            F.bool_or(F.coalesce("_new", F.lit(False))).alias("_any_new"),
-        )
-        .where("_all")
-        .select("zip_url")
-    )
+    wanted = supported_members(members, extensions).join(touched, "zip_url", "left_semi")
+    unknown = not_seen_members(wanted.join(new, key == F.col("_key"), "left_anti"), seen)
+    listed = touched.join(wanted.select("zip_url"), "zip_url", "left_semi")
+    return listed.join(unknown.select("zip_url"), "zip_url", "left_anti")

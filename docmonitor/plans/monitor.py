@@ -14,6 +14,7 @@ from docmonitor.operators import state as S
 from docmonitor.operators.navigate import dedupe_requests
 from docmonitor.params import RunParams
 from docmonitor.plans.documents import classify
+from docmonitor.session import materialise
 from docmonitor.sources import sinks
 from docmonitor.sources import state as store
 
@@ -30,11 +31,12 @@ class Run:
 def new_rows(files: DataFrame, members: DataFrame, seen: DataFrame) -> DataFrame:
     """Candidate documents no earlier run has: plain files and archive members.
 
-    The first link to a final URL wins.  Known files leave before archives are
-    expanded, known members before anything is cleaned.
+    The first link to a final URL wins.  Known files leave first (links to one URL are of one
+    kind, so the two steps commute), archives are expanded after that, and known members
+    leave before anything is cleaned.
     """
-    fresh = files_op.not_seen_final(
-        dedupe_requests(files, "source_file_url", "crawl_seq"), seen
+    fresh = dedupe_requests(
+        files_op.not_seen_final(files, seen), "source_file_url", "crawl_seq"
     )
     archives, plain = files_op.route_zip(fresh)
     expanded = files_op.expand_zip_docs(archives, files_op.not_seen_members(members, seen))
@@ -61,31 +63,37 @@ def plan_run(
 
 
 def run_monitor(
-    files: DataFrame, members: DataFrame, params: RunParams, root: str, batch_id: int
+    files: DataFrame, members: DataFrame, params: RunParams, root: str, batch_id: int,
+    source: str = store.BATCH,
 ) -> bool:
     """Run once and record it under ``root``; False if there was nothing to do.
 
-    Order of writes: publish output, state entries, then the manifest row that
+    ``batch_id`` counts within ``source``.  Order of writes: publish output, state entries, then the manifest row that
     makes both count.  A run that dies in between is simply repeated; a batch
     that is in the manifest is skipped.  The documents are computed once: state,
     feed and report all read the published table.
     """
     spark = files.sparkSession
-    if params.dry_run or store.is_committed(spark, root, batch_id):
+    if params.dry_run or store.is_committed(
+        spark, root, batch_id, store.check_source(source)
+    ):
         return False
     seen = store.read_seen(spark, root)
-    batch_dir = f"{root}/published/batch={batch_id}"
-    plan = plan_run(files, members, seen, params)
-    plan.accepted.write.mode("overwrite").parquet(f"{batch_dir}/documents")
-    accepted = spark.read.schema(plan.accepted.schema).parquet(f"{batch_dir}/documents")
+    batch_dir = f"{root}/published/source={source}/batch={batch_id}"
+    candidates = new_rows(files, members, seen)
+    if params.upload_limit:  # the cut and the documents both need them
+        candidates = materialise(candidates, "candidates")
+    found = D.kept(classify(candidates, params))
+    found.write.mode("overwrite").parquet(f"{batch_dir}/documents")
+    accepted = spark.read.schema(found.schema).parquet(f"{batch_dir}/documents")
     sinks.write_publish(P.to_publish_records(accepted, params), f"{batch_dir}/records")
-    store.write_seen(new_state(accepted, members, seen, params), root, batch_id)
+    store.write_seen(new_state(accepted, members, seen, params), root, batch_id, source)
     sinks.write_items_csv(accepted, f"{root}/feed")
     sinks.write_report(
         P.run_report(accepted, params), P.report_items(accepted), f"{batch_dir}/report"
     )
     store.commit_batch(
-        spark, root, batch_id, params.run_id, params.run_ts, accepted.count()
+        spark, root, batch_id, params.run_id, params.run_ts, accepted.count(), source
     )
     if params.export_state:
         store.export_seen_json(store.read_seen(spark, root), f"{root}/export", params.run_ts)
@@ -95,7 +103,7 @@ def run_monitor(
 def published_documents(spark: SparkSession, root: str) -> DataFrame:
     """Documents of all finished runs."""
     rows = spark.read.option("basePath", f"{root}/published").parquet(
-        f"{root}/published/batch=*/documents"
-    )
-    finished = store.committed_batches(spark, root).select(F.col("batch_id").alias("batch"))
-    return rows.join(finished, "batch", "left_semi")
+        f"{root}/published/source=*/batch=*/documents"
+    ).withColumn("source", F.col("source").cast("string"))
+    finished = store.committed_batches(spark, root).select("source", F.col("batch_id").alias("batch"))
+    return rows.join(finished, ["source", "batch"], "left_semi")

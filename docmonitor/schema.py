@@ -41,12 +41,21 @@ SEEN_JSON = T.StructType([
 ])
 
 MANIFEST = T.StructType([
+    T.StructField("source", T.StringType()),
     T.StructField("batch_id", T.LongType()),
     T.StructField("run_id", T.StringType()),
     T.StructField("run_ts", T.TimestampNTZType()),
     T.StructField("accepted", T.LongType()),
 ])
 
+STARTED = T.StructType([T.StructField("run_ts", T.TimestampNTZType())])
+
+COMPACTION = T.StructType([
+    T.StructField("source", T.StringType()),
+    T.StructField("batch_id", T.LongType()),
+    T.StructField("version", T.LongType()),
+])
+
 # Columns of the CSV feed, in order.
 FEED_COLUMNS = (
     "title", "project", "project_id", "authority", "category", "category_local",

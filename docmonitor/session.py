@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,19 +29,11 @@ def require_utc(spark: SparkSession) -> None:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The folder all executors share, as the cluster names it.
-
-    Only a local session without the setting gets a folder of its own: on a
-    cluster a machine-local path would lose data with its machine.
-    """
+    """The folder all executors share, as the cluster names it; there is no other."""
     root = spark.conf.get(CHECKPOINT_CONF, "") or ""
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not root:
         raise ValueError(f"set {CHECKPOINT_CONF} to a folder shared by all executors")
-    root = tempfile.mkdtemp(prefix="docmonitor-")
-    spark.conf.set(CHECKPOINT_CONF, root)
-    return root
+    return root.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -16,8 +16,9 @@ def write_items_csv(docs: DataFrame, path: str) -> None:
 
 
 def write_publish(records: DataFrame, path: str) -> None:
-    """Publish records, one folder per year."""
-    records.write.mode("overwrite").partitionBy("year").parquet(path)
+    """Publish records, one folder per year; rows of a year are gathered first (in parts of
+    the advised size), so that not every task writes a file for every year."""
+    records.hint("rebalance", "year").write.mode("overwrite").partitionBy("year").parquet(path)
 
 
 def write_report(heading: DataFrame, items: DataFrame, path: str) -> None:

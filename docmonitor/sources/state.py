@@ -1,14 +1,17 @@
 """The state: which files and archives earlier runs have published.
 
 Working form: a parquet table that only grows.  Each run adds one partition
-``batch=<id>`` with its new keys, so a run costs what is new, not what is known.
-A run counts once its manifest row exists; partitions of a run that died before
-that are ignored and overwritten when the run is repeated.
+``source=<who>/batch=<id>`` with its new keys, so a run costs what is new, not what is
+known.  Batch ids count within their source: each stream checkpoint is a source of its
+own, so ids that start anew never meet those of other runs.  A run counts once its
+manifest row exists; partitions of a run that died before that are ignored and
+overwritten when the run is repeated.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +20,9 @@ from pyspark.sql import types as T
 
 from docmonitor import schema
 from docmonitor.operators.files import DOCUMENTS, ZIPS
+from docmonitor.session import materialise
+
+BATCH, COMPACTED = "batch", "compaction"
 
 
 def _read_or_empty(spark: SparkSession, table_schema: T.StructType, path: str) -> DataFrame:
@@ -44,14 +50,19 @@ def seen_from_json(objects: DataFrame) -> DataFrame:
 def load_seen(spark: SparkSession, path: str, dry_run: bool = False) -> DataFrame:
     """State from JSON: one object, or lines that each hold a part of it.
 
-    A dry run takes a missing or unreadable file as an empty state.  A real run
-    fails on it: an unnoticed loss of the state would publish everything again.
+    A dry run takes a missing or unreadable file, or one of which any line is unreadable,
+    as an empty state, never as a part of one.  A real run fails on it: an unnoticed loss
+    of the state would publish everything again.
     """
-    reader = spark.read.schema(schema.SEEN_JSON).option(
-        "mode", "PERMISSIVE" if dry_run else "FAILFAST"
-    )
+    reader = spark.read.schema(schema.SEEN_JSON).option("mode", "FAILFAST")
+    if dry_run:
+        marked = T.StructType([*schema.SEEN_JSON.fields, T.StructField("_broken", T.StringType())])
+        reader = spark.read.schema(marked).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_broken")
     try:
-        return seen_from_json(reader.json(path))
+        objects = reader.json(path)
+        if dry_run and objects.where("_broken IS NOT NULL").head(1):
+            return spark.createDataFrame([], schema.SEEN)
+        return seen_from_json(objects)
     except AnalysisException as problem:
         if dry_run and problem.getCondition() == "PATH_NOT_FOUND":
             return spark.createDataFrame([], schema.SEEN)
@@ -82,56 +93,94 @@ def export_seen_json(seen: DataFrame, path: str, run_ts: dt.datetime) -> str:
 
 
 # -- table form -------------------------------------------------------------------
+def check_source(source: str) -> str:
+    """Sources become folder names."""
+    if not re.fullmatch(r"[A-Za-z0-9][A-Za-z0-9.-]*", source) or source == COMPACTED:
+        raise ValueError(f"not a name for a source of runs: {source!r}")
+    return source
+
+
 def committed_batches(spark: SparkSession, root: str) -> DataFrame:
     """One row per finished run."""
     return _read_or_empty(spark, schema.MANIFEST, f"{root}/manifest")
 
 
-def is_committed(spark: SparkSession, root: str, batch_id: int) -> bool:
-    return not committed_batches(spark, root).where(F.col("batch_id") == batch_id).isEmpty()
+def is_committed(spark: SparkSession, root: str, batch_id: int, source: str = BATCH) -> bool:
+    done = committed_batches(spark, root)
+    return not done.where((F.col("batch_id") == batch_id) & (F.col("source") == source)).isEmpty()
 
 
-def read_seen(spark: SparkSession, root: str) -> DataFrame:
-    """State of all finished runs; partitions of unfinished ones are not read.
+def _last_compaction(spark: SparkSession, root: str) -> tuple[DataFrame, int]:
+    """The runs that the newest compaction holds, and its version (-1: none)."""
+    done = _read_or_empty(spark, schema.COMPACTION, f"{root}/compactions")
+    version = done.agg(F.max("version")).first()[0]
+    version = -1 if version is None else version
+    return done.where(F.col("version") == version).select("source", "batch_id"), version
+
 
-    The batch ids (one number a run) become a partition filter, so Spark knows
-    the exact size of what it will read before it picks a join.
+def _state_of(spark: SparkSession, root: str, runs: DataFrame) -> DataFrame:
+    """State of ``runs``, those before the newest compaction from its copy.
+
+    The runs, a short table, prune the state's partitions; they never pass the driver.
     """
-    table = T.StructType([*schema.SEEN.fields, T.StructField("batch", T.LongType())])
-    ids = [row.batch_id for row in committed_batches(spark, root).select("batch_id").collect()]
-    if not ids:
-        return spark.createDataFrame([], schema.SEEN)
-    rows = spark.read.schema(table).parquet(f"{root}/seen")
-    return rows.where(F.col("batch").isin(ids)).select(*schema.SEEN.fieldNames())
+    covered, version = _last_compaction(spark, root)
+    live = runs.select("source", "batch_id").join(covered, ["source", "batch_id"], "left_anti")
+    if version >= 0:
+        live = live.unionByName(spark.range(1).select(
+            F.lit(COMPACTED).alias("source"), F.lit(version).cast("long").alias("batch_id")))
+    table = T.StructType([
+        *schema.SEEN.fields, T.StructField("source", T.StringType()), T.StructField("batch", T.LongType()),
+    ])
+    rows = _read_or_empty(spark, table, f"{root}/seen")
+    return rows.join(live.withColumnRenamed("batch_id", "batch"), ["source", "batch"], "left_semi").select(
+        *schema.SEEN.fieldNames())
+
+
+def read_seen(spark: SparkSession, root: str) -> DataFrame:
+    """State of all finished runs; partitions of unfinished ones don't count."""
+    return _state_of(spark, root, committed_batches(spark, root))
 
 
-def write_seen(new: DataFrame, root: str, batch_id: int) -> None:
+def write_seen(new: DataFrame, root: str, batch_id: int, source: str = BATCH) -> None:
     """Add the keys of one run (repeatable: overwrites only that run's folder)."""
     new.select(*schema.SEEN.fieldNames()).write.mode("overwrite").parquet(
-        f"{root}/seen/batch={batch_id}"
+        f"{root}/seen/source={source}/batch={batch_id}"
     )
 
 
 def commit_batch(
     spark: SparkSession, root: str, batch_id: int, run_id: str | None,
-    run_ts: dt.datetime, accepted: int,
+    run_ts: dt.datetime, accepted: int, source: str = BATCH,
 ) -> None:
     """The run is done: later runs see its state from here on."""
-    row = spark.createDataFrame([(batch_id, run_id, run_ts, accepted)], schema.MANIFEST)
-    row.coalesce(1).write.mode("overwrite").parquet(f"{root}/manifest/run={batch_id}")
+    row = spark.createDataFrame([(source, batch_id, run_id, run_ts, accepted)], schema.MANIFEST)
+    row.coalesce(1).write.mode("overwrite").parquet(f"{root}/manifest/run={source}-{batch_id}")
+
+
+def started_at(
+    spark: SparkSession, root: str, batch_id: int, source: str, now: dt.datetime
+) -> dt.datetime:
+    """The time of a run, kept before its work starts, so that a replay has the same."""
+    path = f"{root}/started/{source}-{batch_id}"
+    known = _read_or_empty(spark, schema.STARTED, path).agg(F.min("run_ts")).first()[0]
+    if known is None:
+        spark.createDataFrame([(now,)], schema.STARTED).coalesce(1).write.mode("overwrite").parquet(path)
+    return known or now
 
 
-def compact_seen(spark: SparkSession, root: str, new_root: str, files: int) -> None:
-    """Rewrite the finished state as batch -1 of a new root, hashed by key.
+def compact_seen(spark: SparkSession, root: str, files: int) -> None:
+    """Copy the finished state into ``files`` files hashed by key; later runs read those.
 
-    For states of many small batches; the old root stays as it is.
+    For states of many small batches.  Everything else under ``root`` stays: batch ids, so
+    replays are still skipped, publications, and the stream's checkpoint.  The copy counts
+    once the list of the runs it holds is written; a run that ends meanwhile is not in that
+    list and is read beside the copy.
     """
-    state = read_seen(spark, root).repartition(files, "key")
-    write_seen(state, new_root, -1)
-    for row in committed_batches(spark, root).agg(
-        F.max("run_ts").alias("run_ts"), F.sum("accepted").alias("accepted")
-    ).collect():  # one row
-        commit_batch(spark, new_root, -1, None, row.run_ts, row.accepted)
+    runs = materialise(committed_batches(spark, root).select("source", "batch_id"), "runs")
+    version = _last_compaction(spark, root)[1] + 1
+    _state_of(spark, root, runs).repartition(files, "key").write.mode("overwrite").parquet(
+        f"{root}/seen/source={COMPACTED}/batch={version}")
+    runs.coalesce(1).write.mode("overwrite").parquet(f"{root}/compactions/version={version}")
 
 
 # -- bucketed form ----------------------------------------------------------------

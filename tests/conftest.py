@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 from pyspark.sql import SparkSession
@@ -16,6 +17,8 @@ def spark():
         .config("spark.sql.session.timeZone", "UTC").getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
+    if not session.conf.get("spark.checkpoint.dir", ""):
+        session.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="docmonitor-"))
     return session
 
 

@@ -1,6 +1,7 @@
 """Row transforms, limits, state and whole runs on small tables."""
 
 import datetime as dt
+import os
 import zipfile
 
 import pytest
@@ -78,10 +79,10 @@ def test_drop_reasons(spark):
     assert reason(authority=None) == "No authority"
 
 
-@pytest.mark.parametrize("n, kept", [(0, 5), (3, 3), (9, 5)])
-@pytest.mark.parametrize("top_n", [0, 5000])
-def test_limit(spark, monkeypatch, n, kept, top_n):
-    monkeypatch.setattr(D, "TOP_N_ROWS", top_n)
+@pytest.mark.parametrize("n, kept", [(0, 5), (3, 3), (6, 5), (9, 5)])
+@pytest.mark.parametrize("rows_per_range", [1, 10**6])
+def test_limit(spark, monkeypatch, n, kept, rows_per_range):
+    monkeypatch.setattr(D, "ROWS_PER_RANGE", rows_per_range)
     df = J.as_plain_docs(files_table(spark, ["a.pdf", "b.exe", "c.pdf", "d.pdf", "e.pdf", "f.pdf"]))
     rows = classify(df, params(upload_limit=n))
     accepted = col(D.kept(rows), "crawl_seq")
@@ -199,7 +200,7 @@ def test_stream_equals_batch(spark, tmp_path):
     for i in range(5):
         files.where(F.col("crawl_seq") == i).coalesce(1).write.mode("append").parquet(arriving)
     stream = pages_src.stream_pages(spark, arriving, schema.DOCUMENTS_IN, maxFilesPerTrigger=1)
-    stream_monitor(stream, members, params(), many).awaitTermination()
+    stream_monitor(stream, members, params(), many, clock=lambda: TS).awaitTermination()
     assert store.committed_batches(spark, many).count() == 5
     as_set = lambda root: sorted(map(tuple, store.read_seen(spark, root).collect()))
     assert as_set(one) == as_set(many)
@@ -209,16 +210,57 @@ def test_stream_equals_batch(spark, tmp_path):
     assert as_set(one) == as_set(many)
 
 
-def test_compact_keeps_the_state(spark, tmp_path):
+def test_compaction_keeps_state_ids_and_publications(spark, tmp_path):
+    files, members = run_twice_inputs(spark)
+    root = str(tmp_path)
+    state = lambda: sorted(map(tuple, store.read_seen(spark, root).collect()))
+    run_monitor(files.where("crawl_seq < 1"), members, params(), root, 0)
+    run_monitor(files.where("crawl_seq < 2"), members, params(), root, 1)
+    before, published = state(), published_documents(spark, root).count()
+    for _ in range(2):
+        store.compact_seen(spark, root, 2)
+        assert state() == before
+        assert published_documents(spark, root).count() == published
+        assert not run_monitor(files, members, params(), root, 1)  # a replay is still known
+    assert run_monitor(files, members, params(), root, 2)
+    assert len(state()) == 5 and set(before) < set(state())
+    store.compact_seen(spark, root, 1)
+    assert len(state()) == 5
+
+
+def test_stream_after_a_batch_run_loses_nothing(spark, tmp_path):
     files, members = run_twice_inputs(spark)
-    old, new = str(tmp_path / "old"), str(tmp_path / "new")
-    run_monitor(files.where("crawl_seq < 2"), members, params(), old, 0)
-    run_monitor(files, members, params(), old, 1)
-    store.compact_seen(spark, old, new, 2)
-    rows = lambda root: sorted(map(tuple, store.read_seen(spark, root).collect()))
-    assert rows(old) == rows(new)
-    assert run_monitor(files, members, params(), new, 2)
-    assert rows(old) == rows(new)
+    root, arriving = str(tmp_path / "root"), str(tmp_path / "in")
+    run_monitor(files.where("crawl_seq < 1"), members, params(), root, 0)
+    times = iter([TS + dt.timedelta(minutes=m) for m in range(1, 9)])
+
+    def arrive(*numbers):
+        for i in numbers:
+            files.where(F.col("crawl_seq") == i).coalesce(1).write.mode("append").parquet(arriving)
+            stream = pages_src.stream_pages(spark, arriving, schema.DOCUMENTS_IN, maxFilesPerTrigger=1)
+            stream_monitor(stream, members, params(), root, clock=lambda: next(times)).awaitTermination()
+
+    arrive(1, 2)
+    os.rename(f"{root}/stream", f"{root}/stream-lost")  # a renewed checkpoint counts from 0 again
+    arrive(3, 4)
+    assert store.read_seen(spark, root).count() == 5
+    runs = store.committed_batches(spark, root)
+    assert runs.select("source").distinct().count() == 3
+    stamps = [r.run_ts for r in runs.where("source <> 'batch'").collect()]
+    assert len(set(stamps)) == len(stamps) > 3
+    assert store.read_seen(spark, root).select("last_seen").distinct().count() > 1
+
+
+def test_a_replay_has_the_time_of_its_first_start(spark, tmp_path):
+    first = store.started_at(spark, str(tmp_path), 3, "s", TS)
+    assert store.started_at(spark, str(tmp_path), 3, "s", TS + dt.timedelta(hours=1)) == first == TS
+    assert store.started_at(spark, str(tmp_path), 3, "t", TS + dt.timedelta(hours=1)) != TS
+
+
+def test_source_names(spark, tmp_path):
+    for bad in ("", "a/b", "compaction", "x=y"):
+        with pytest.raises(ValueError):
+            store.check_source(bad)
 
 
 def test_upserts_replace_old_entries(spark):
@@ -236,7 +278,7 @@ def test_load_seen(spark, tmp_path):
     assert sorted(map(tuple, store.load_seen(spark, str(whole)).collect())) == [
         ("documents", "u", "a", "b", "2024"), ("zips", "v", "c", None, None)]
     missing, broken = str(tmp_path / "none.json"), tmp_path / "b.json"
-    broken.write_text("{nonsense")
+    broken.write_text('{"documents": {"u": {"last_modified": "a"}}}\n{nonsense')
     assert store.load_seen(spark, missing, dry_run=True).isEmpty()
     assert store.load_seen(spark, str(broken), dry_run=True).isEmpty()
     with pytest.raises(Exception):

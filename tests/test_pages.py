@@ -118,3 +118,9 @@ def test_walk_requests_each_page_once(spark):
     ]
     links = X.page_hits(df, ("project", "next"))
     assert [r.url for r in N.frontier(links, df).orderBy("url").collect()] == [SITE + "gone", SITE + "p9"]
+
+
+def test_class_with_character_references(spark):
+    html = "<div id=contenu><div class='fr-download'><a class='fr-download&#95;_link' href=a.pdf>A</a></div></div>"
+    rows = X.download_links(pages_table(spark, m=html)).collect()
+    assert [(r.title, r.href) for r in rows] == [("A", "a.pdf")]
