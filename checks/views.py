@@ -1,14 +1,12 @@
 """Monitoring inputs derived from the driver's tables, on Spark.
 
 Every view covers the whole table it is made from.  ``views_sql`` states the
-same views in SQL for the comparison.  A view is written to the shared folder
-once per application, the way a capture job would leave it: a table of several
-files.  Queries then scan, prune and filter real columns.
+same views in SQL for the comparison.  A view is a plan over the given tables, made
+anew in every query, so each query reads them and its time includes that.
 """
 
 from __future__ import annotations
 
-import functools
 import io
 import zipfile
 
@@ -18,7 +16,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docmonitor.functions.urls import event_key, is_zip
-from docmonitor.session import scratch_path
 
 SITE = "https://docs.example.org"
 START_URL = f"{SITE}/accueil.html"
@@ -29,24 +26,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-_CAPTURED: dict = {}
-
-
-def captured(view):
-    """Derive a view once per application and data set; afterwards read it."""
-
-    @functools.wraps(view)
-    def read(spark: SparkSession, sf_dir: str) -> DataFrame:
-        key = (spark.sparkContext.applicationId, sf_dir, view.__name__)
-        if key not in _CAPTURED:
-            path = scratch_path(spark, view.__name__)
-            view(spark, sf_dir).write.parquet(path)
-            _CAPTURED[key] = path
-        return spark.read.parquet(_CAPTURED[key])
-
-    return read
-
-
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Rows over all cores, as a captured table of many files would be."""
     return df.repartition(df.sparkSession.sparkContext.defaultParallelism, *keys)
@@ -110,7 +89,6 @@ def docs_base_of(orders: DataFrame) -> DataFrame:
     )
 
 
-@captured
 def docs_base(spark, sf_dir) -> DataFrame:
     return docs_base_of(spread(table(spark, sf_dir, "orders"), "o_orderkey"))
 
@@ -128,7 +106,6 @@ def _member_path() -> Column:
     )
 
 
-@captured
 def members_in(spark, sf_dir) -> DataFrame:
     """Archive members: the distinct lines of orders whose file is an archive."""
     archives = docs_base(spark, sf_dir).where(is_zip(F.col("source_file_url"))).drop("member_path")
@@ -138,7 +115,6 @@ def members_in(spark, sf_dir) -> DataFrame:
     ).transform(spread, "zip_url", "member_path")
 
 
-@captured
 def seen_in(spark, sf_dir) -> DataFrame:
     """State of an earlier run: finished orders, and the first folder of every archive."""
     docs = docs_base(spark, sf_dir).where("status = 'F'").select(
@@ -157,7 +133,6 @@ def seen_in(spark, sf_dir) -> DataFrame:
     )
 
 
-@captured
 def headers_in(spark, sf_dir) -> DataFrame:
     """File headers; urgent orders were moved to another host."""
     url = F.col("source_file_url")
@@ -221,7 +196,6 @@ def _file_link(f) -> Column:
     )
 
 
-@captured
 def pages_in(spark, sf_dir) -> DataFrame:
     """``(url, html)``: start page, departments, paginated lists, projects."""
     projects = site_projects(spark, sf_dir)
@@ -307,7 +281,6 @@ def make_zip(paths: pa.Array) -> pa.Array:
     return pa.array([_zip_bytes(p) for p in paths.to_pylist()], type=pa.binary())
 
 
-@captured
 def zip_files(spark, sf_dir) -> DataFrame:
     """A real archive per order: its lines as files, under a folder entry.
 
