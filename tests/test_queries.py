@@ -34,4 +34,5 @@ def test_entry(spark):
     import __spark_entry__ as entry
 
     assert entry.entry(spark).count() > 0
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    # other queries may be there that SQL can't express
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql()) <= set(entry.queries())
