@@ -86,8 +86,10 @@ class WordEncoder:
     def encode_many(self, texts: list[str]) -> list[bytes]:
         """The ids of each whole text as little-endian unsigned 32-bit integers."""
         split, found = self._words(texts, self.ids, self._ids_of)
-        return [self._first(words) + b"".join(map(found.__getitem__, words if self.drops_space else words[1:]))
-                for words in split]
+        if self.drops_space:
+            return [b"".join(map(found.__getitem__, words)) for words in split]
+        first = self._ids(list({words[0] for words in split} - {""})) | {"": b""}  # no space stands before these
+        return [first[words[0]] + b"".join(map(found.__getitem__, words[1:])) for words in split]
 
     def spans_many(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
         """Starts and ends of all tokens of each text, in characters."""
@@ -105,10 +107,6 @@ class WordEncoder:
             out.append((base + starts, base + ends))
         return out
 
-    def _first(self, words: list[str]) -> bytes:
-        """The ids of a first word before which no space stands."""
-        return b"" if self.drops_space or not words[0] else self._ids([words[0]])[words[0]]
-
     def _words(self, texts: list[str], cache: Generations, encode) -> tuple[list[list[str]], dict]:
         """Each text's words, and a mapping that has all of them."""
         split = [(t.replace("\n", " ") if self.drops_space else t).split(" ") for t in texts]
