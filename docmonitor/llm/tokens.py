@@ -125,14 +125,21 @@ class WordEncoder:
         return split, found
 
     def _ids_of(self, words: list[str], before: str) -> dict[str, bytes]:
-        """Ids of words; a stop or comma behind a letter is a pre-token of its own."""
-        tails = {w: w[:-1] for w in words if w[-1:] in (".", ",") and w[-2:-1].isalpha()}
-        stems, bare = self.ids.find(set(tails.values()).union(w for w in words if w not in tails))
+        """Ids of words."""
+        bare, stems, tails = self._without_tails(words, self.ids)
         got = {w[len(before):]: ids for w, ids in self._ids([before + w for w in bare]).items()}
         for w, stem in tails.items():
             got[w] = (got.get(stem) or stems[stem]) + self.tails[w[-1]]
         return got
 
+    @staticmethod
+    def _without_tails(words: list[str], cache: Generations) -> tuple[list[str], dict, dict[str, str]]:
+        """What to encode, what is known, and words with their stems: a stop or comma behind
+        a letter is a pre-token of its own, of one id."""
+        tails = {w: w[:-1] for w in words if w[-1:] in (".", ",") and w[-2:-1].isalpha()}
+        stems, bare = cache.find(set(tails.values()).union(w for w in words if w not in tails))
+        return bare, stems, tails
+
     def _ids(self, words: list[str]) -> dict[str, bytes]:
         """Words without white space or the mark are encoded in rows, a mark after each:
         the mark is a pre-token of its own, whose id no such word yields."""
@@ -153,10 +160,16 @@ class WordEncoder:
 
     def _spans_of(self, words: list[str], before: str) -> dict[str, tuple[int, bytes, bytes]]:
         """Token counts and spans, counted from the start of what is encoded."""
+        bare, stems, tails = self._without_tails(words, self.spans) if before == self.before else (words, {}, {})
         out = {}
-        for w, e in zip(words, self.tokenizer.encode_batch([before + w for w in words], add_special_tokens=False)):
+        encoded = self.tokenizer.encode_batch([before + w for w in bare], add_special_tokens=False) if bare else []
+        for w, e in zip(bare, encoded):
             spans = np.array(e.offsets, "<i4").reshape(-1, 2)
             out[w] = (len(spans), spans[:, 0].tobytes(), spans[:, 1].tobytes())
+        for w, stem in tails.items():
+            n, starts, ends = out.get(stem) or stems[stem]
+            at = len(before) + len(stem)
+            out[w] = (n + 1, starts + at.to_bytes(4, "little"), ends + (at + 1).to_bytes(4, "little"))
         return out
 
 
