@@ -16,7 +16,7 @@ from functools import lru_cache
 
 import numpy as np
 
-CACHE_WORDS = 600_000
+CACHE_WORDS = 500_000
 CACHED_WORD_CHARS = 48
 BATCH_CHARS = 1 << 18
 ROW_WORDS = 64
