@@ -62,6 +62,23 @@ class Generations:
             self.old, self.new = self.new, {}
 
 
+class LetterEnds(dict):
+    """Which characters are letters that leave a stop or comma behind them a pre-token of its
+    own.  The tokenizer says so itself, as it cuts what its normalizer made: some letters
+    become a letter and a mark, and the mark takes the stop with it."""
+
+    def __init__(self, tokenizer):
+        self.normalizer, self.pre_tokenizer = tokenizer.normalizer, tokenizer.pre_tokenizer
+
+    def __missing__(self, c: str) -> bool:
+        self[c] = c.isalpha() and all(self._apart(c, tail) for tail in ".,")
+        return self[c]
+
+    def _apart(self, c: str, tail: str) -> bool:
+        text = self.normalizer.normalize_str(c + tail) if self.normalizer else c + tail
+        return self.pre_tokenizer.pre_tokenize_str(text)[-1][0] == tail
+
+
 class WordEncoder:
     """Encodes texts word by word with one of the public tokenizers.
 
@@ -81,6 +98,7 @@ class WordEncoder:
         self.mark = " \x01 " if self.drops_space else "\n"
         (self.mark_id,) = self.tokenizer.encode(self.mark, add_special_tokens=False).ids
         self.tails = {c: self._ids([c])[c] for c in ".,"}
+        self.letter_ends = LetterEnds(self.tokenizer)
         self.ids, self.spans = Generations(), Generations()
 
     def encode_many(self, texts: list[str]) -> list[bytes]:
@@ -132,11 +150,11 @@ class WordEncoder:
             got[w] = (got.get(stem) or stems[stem]) + self.tails[w[-1]]
         return got
 
-    @staticmethod
-    def _without_tails(words: list[str], cache: Generations) -> tuple[list[str], dict, dict[str, str]]:
+    def _without_tails(self, words: list[str], cache: Generations) -> tuple[list[str], dict, dict[str, str]]:
         """What to encode, what is known, and words with their stems: a stop or comma behind
-        a letter is a pre-token of its own, of one id."""
-        tails = {w: w[:-1] for w in words if w[-1:] in (".", ",") and w[-2:-1].isalpha()}
+        a letter (see ``LetterEnds``) is a pre-token of its own, of one id."""
+        ends = self.letter_ends
+        tails = {w: w[:-1] for w in words if w[-1:] in (".", ",") and ends[w[-2:-1]]}
         stems, bare = cache.find(set(tails.values()).union(w for w in words if w not in tails))
         return bare, stems, tails
 

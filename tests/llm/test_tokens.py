@@ -27,6 +27,19 @@ def test_words_give_the_ids_of_whole_texts(name, mixed_rows):
     assert [list(zip(a.tolist(), b.tolist())) for a, b in spans] == [e.offsets for e in want]
 
 
+@pytest.mark.parametrize("name", FILES)
+def test_stops_behind_every_letter(name):
+    """Letters that the normalizer turns into a letter and a mark keep the stop with the mark."""
+    code, plain = tokens.WordEncoder(tokenizer_path(name)), Tokenizer.from_file(tokenizer_path(name))
+    apart = "\u0130\u0958\u095f\u09dc\u0a33\u0b5c\u0f43\ufb1d\ufb2a\ufb4e"
+    letters = apart + "".join(chr(c) for c in range(0x3000) if chr(c).isalpha()) + "\ud55c\u1112\u1161\u11ab\U00010400\U0001e900"
+    texts = [f"{a}{c}{tail} b{c}{tail}" for c in letters for a in ("", "x") for tail in ".,"]
+    want = plain.encode_batch(texts, add_special_tokens=False)
+    assert [np.frombuffer(b, "<u4").tolist() for b in code.encode_many(texts)] == [e.ids for e in want]
+    spans = code.spans_many(texts)
+    assert [list(zip(a.tolist(), b.tolist())) for a, b in spans] == [e.offsets for e in want]
+
+
 def test_the_cache_stays_within_its_bound(monkeypatch):
     monkeypatch.setattr(tokens, "CACHE_WORDS", 20)
     code, plain = tokens.WordEncoder(tokenizer_path(FILES[1])), Tokenizer.from_file(tokenizer_path(FILES[1]))
