@@ -329,10 +329,10 @@ def html_hits(html: pa.Array, url: pa.Array) -> pa.Array:
 def may_have(html: Column, kinds) -> Column:
     """Cheap JVM-side test that skips pages without any of ``kinds``.
 
-    A marker may be written with character references, so a page with one inside a tag
-    passes too.
+    A marker may be written with character references, so a page with one anywhere passes
+    too: where a tag ends is for the parser to say.
     """
-    test = html.rlike("<[^>]*&#?[0-9A-Za-z]")
+    test = html.rlike("&#?[0-9A-Za-z]")
     for kind in kinds:
         test = test | F.contains(html, F.lit(MARKERS[kind]))
     return test

@@ -124,3 +124,11 @@ def test_class_with_character_references(spark):
     html = "<div id=contenu><div class='fr-download'><a class='fr-download&#95;_link' href=a.pdf>A</a></div></div>"
     rows = X.download_links(pages_table(spark, m=html)).collect()
     assert [(r.title, r.href) for r in rows] == [("A", "a.pdf")]
+
+
+def test_reference_behind_a_quoted_bracket(spark):
+    html = ("<div id=contenu><div class='fr-download'>"
+            "<a title=\"x > y\" class=\"fr-download&#95;_link\" href=a.pdf>A</a></div></div>")
+    pages = pages_table(spark, m=html)
+    assert [(r.title, r.href) for r in X.download_links(pages).collect()] == [("A", "a.pdf")]
+    assert [r.kind for r in X.page_hits(pages).collect()] == ["download"]
