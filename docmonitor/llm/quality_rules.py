@@ -4,7 +4,8 @@ A language's reference is made of two histograms over all its documents: of char
 classes, and of its commonest words (with a cell for words that are marks only, and one
 for all other words).  A document
 is compared with each by the Jensen-Shannon distance; the nearest language counts, so a
-wrong ``lang`` does no harm.  Texts too short to have a histogram are not judged by it.
+wrong ``lang`` does no harm.  Texts too short to have a histogram are not judged by it, nor
+are the words of a text whose own language has no reference: it has none of the others' words.
 """
 
 from __future__ import annotations
@@ -25,7 +26,9 @@ WINDOW = 5
 LEAST_WORDS = 10
 MOST_REPEATED = 20  # percent of the words
 COMMON_WORDS = 100
-LEAST_SHARE = 0.002  # of all words, for a language to have a reference: so 500 at most
+LEAST_SHARE = 0.002  # of all words, for a language to have a reference ...
+ENOUGH_WORDS = 200_000  # ... and as many are enough whatever their share
+MOST_LANGUAGES = 500  # the largest ones
 GUARD_CHARS = 200
 GUARD_WORDS = 50
 MOST_CHAR_DISTANCE = 0.30
@@ -97,7 +100,8 @@ def references(docs: DataFrame) -> dict[str, tuple[np.ndarray, dict[bytes, int],
 
     Counted over all whole texts.  Each task first sums what it has, so what is shuffled is
     a row a language, word and task.  A language is one that holds ``LEAST_SHARE`` of all
-    words, so what comes to the driver has a bound: 500 languages, 100 words each.
+    words, or ``ENOUGH_WORDS``; what comes to the driver has a bound: 500 languages, 100
+    words each.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -124,10 +128,11 @@ def references(docs: DataFrame) -> dict[str, tuple[np.ndarray, dict[bytes, int],
     cells = (texts.mapInArrow(count, "lang string, cell string, n long")
              .groupBy("lang", "cell").agg(F.sum("n").alias("n")))
     cells = materialise(cells, "language-cells")
-    sizes = {r["lang"]: r["n"] for r in cells.where("cell LIKE 'w%'").groupBy("lang").agg(F.sum("n").alias("n"))
-             .orderBy(F.desc("n"), "lang").limit(int(1 / LEAST_SHARE)).collect()}
-    total = sum(sizes.values())
-    langs = sorted(k for k, n in sizes.items() if n >= LEAST_SHARE * total)
+    words = cells.where("cell LIKE 'w%'")
+    sizes = {r["lang"]: r["n"] for r in words.groupBy("lang").agg(F.sum("n").alias("n"))
+             .orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES).collect()}
+    total = words.agg(F.sum("n")).first()[0] or 0
+    langs = sorted(k for k, n in sizes.items() if n >= min(LEAST_SHARE * total, ENOUGH_WORDS))
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "cell")
     top = (cells.where(F.col("lang").isin(langs)).where("cell LIKE 'w_%'")
            .withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= COMMON_WORDS))
@@ -147,13 +152,14 @@ def references(docs: DataFrame) -> dict[str, tuple[np.ndarray, dict[bytes, int],
             for k in langs if chars[k].sum()}
 
 
-def divergence(data: bytes, words: list[bytes], refs: dict) -> tuple[float | None, float | None]:
+def divergence(data: bytes, words: list[bytes], refs: dict, lang: str | None) -> tuple[float | None, float | None]:
     """Distances of characters and of common words to the nearest language: the one for
-    which their sum is least.  None where the text is too short, or there is no language."""
+    which their sum is least.  None where the text is too short, or there is no language;
+    that of words also where the text's own language ``lang`` is set but has no reference."""
     hist = char_histogram(data)
     if hist.sum() < GUARD_CHARS or not refs:
         return None, None
-    found = plain(words) if len(words) >= GUARD_WORDS else None
+    found = plain(words) if len(words) >= GUARD_WORDS and (lang is None or lang in refs) else None
     best = None
     for chars, common, counts in refs.values():
         c, w = distance(hist, chars), None
@@ -176,7 +182,7 @@ def judge(docs: DataFrame, most_char: float = MOST_CHAR_DISTANCE, most_word: flo
     ``base_failed``: fewer than ten words, or more than a fifth of the words stand in
     five-word windows that come twice or more.  ``kept``: not failed, and neither distance
     is over its limit; a distance that isn't known (short text, no language with a
-    reference) speaks for the document.  A null text has no words, so it fails.  Repeated
+    reference, or for words an own language without one) speaks for the document.  A null text has no words, so it fails.  Repeated
     rows are judged alike.  With ``keep_columns`` the rows keep their own columns and get
     ``kept`` and no other.
     """
@@ -190,12 +196,13 @@ def judge(docs: DataFrame, most_char: float = MOST_CHAR_DISTANCE, most_word: flo
         refs = model.value
         for batch in batches:
             out = []
-            for text in batch.column(batch.schema.get_field_index("text")).to_pylist():
+            texts, langs = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("text", "_own_lang"))
+            for text, lang in zip(texts, langs):
                 data = (text or "").encode("utf-8", "replace")
                 words = data.split()
                 counts = base_counts(data, words)
                 failed = counts[0] < LEAST_WORDS or 100 * counts[4] > MOST_REPEATED * counts[0]
-                c, w = (None, None) if failed else divergence(data, words, refs)
+                c, w = (None, None) if failed else divergence(data, words, refs, lang)
                 out.append((*counts, failed, c, w, not failed and (c or 0) <= most_char and (w or 0) <= most_word))
             columns = list(zip(*out)) or [()] * len(names)
             made = {k: pa.array(v, t) for (k, t), v in zip(names.items(), columns)}
@@ -209,7 +216,7 @@ def judge(docs: DataFrame, most_char: float = MOST_CHAR_DISTANCE, most_word: flo
                             "n_words long", "word_chars long", "n_symbols long", "n_dup_lines long", "n_repeat_words long",
                             "base_failed boolean", "char_distance double", "word_distance double", "kept boolean"])])
     need = dict.fromkeys([*own, "text"])
-    return docs.select(*need).mapInArrow(run, fields)
+    return docs.select(*need, F.col("lang").cast("string").alias("_own_lang")).mapInArrow(run, fields)
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -48,6 +48,20 @@ def test_kept_columns_and_empty_table(documents, mixed_rows):
     assert quality_rules.judge(documents([])).collect() == []
 
 
+def test_clean_documents_of_a_rare_language(documents, monkeypatch):
+    """A language under the least share has no reference, and the others' words don't judge it."""
+    r = random.Random(5)
+    rare = " ".join(r.choice("huis boom water fiets straat brood winter kaas molen lucht".split()) for _ in range(70))
+    docs = documents([(i, prose(i, 1000), "en", "s") for i in range(40)] + [(100, rare, "nl", "s"), (101, rare, "en", "s")])
+    got = {x["doc_id"]: x for x in quality_rules.judge(docs).collect()}
+    assert got[100]["kept"] and got[100]["word_distance"] is None and got[100]["char_distance"] is not None
+    assert not got[101]["kept"] and got[101]["word_distance"] > quality_rules.MOST_WORD_DISTANCE
+    assert all(got[i]["kept"] and got[i]["word_distance"] is not None for i in range(40))
+    assert sorted(quality_rules.references(docs)) == ["en"]
+    monkeypatch.setattr(quality_rules, "ENOUGH_WORDS", 70)
+    assert sorted(quality_rules.references(docs)) == ["en", "nl"]
+
+
 def test_jensen_shannon_distance():
     p, q = np.array([1.0, 0, 3]), np.array([1.0, 1, 2])
     a, b = p / 4, q / 4
