@@ -10,7 +10,7 @@ from samples import prose
 from test_joins import components_by_hand, lines_by_hand, near_rows
 
 SF_DIR = "/root/testdata/sf0.001"
-TABLES = ("documents", "pages", "embeddings", "labels")
+TABLES = ("documents", "pages", "embeddings", "labels", "conversations")
 
 
 @pytest.fixture(scope="module")
@@ -24,7 +24,7 @@ def data():
 
 
 def test_each_operator_has_one_query():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
