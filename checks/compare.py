@@ -16,15 +16,16 @@ TABLES = (
 def session(cores: str = "8"):
     from pyspark.sql import SparkSession
 
-    spark = (
+    builder = (
         SparkSession.builder.master(f"local[{cores}]").appName("docmonitor-checks")
         .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", "8").config("spark.sql.session.timeZone", "UTC")
-        .getOrCreate()
     )
+    spark = builder.getOrCreate()
     if not spark.conf.get("spark.checkpoint.dir", ""):  # one machine: any folder is shared
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="docmonitor-"))
+        spark.stop()
+        spark = builder.config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="docmonitor-")).getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 

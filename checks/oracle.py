@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from checks import views_sql as Q
-from checks.queries import LARGE_LIMIT, LIMIT, PARAMS, RUN_TS
+from checks.queries import DAY, LARGE_LIMIT, LIMIT, PARAMS, RUN_TS, SITE_RUN
 
 NOW = f"'{RUN_TS.isoformat()}'"
 CODE_OF_LABEL = r"nullif(regexp_extract(department_label, '\((\d\d)\)', 1), '')"
@@ -121,6 +121,88 @@ SECTIONS = f"""sections AS (
 DEPARTMENT_URL = f"'{Q.SITE}/departement-' || n_nationkey || '.html'"
 PROJECT_URL = f"'{Q.SITE}/projet-' || k || '.html'"
 
+# -- the faulty site (``views.site_faults``) and a run over it ----------------------------
+SITE_FILE = f"""CASE o_orderkey % 3 WHEN 0 THEN 'https://files.example.org/IMG/f ' || o_orderkey || '.pdf'
+    WHEN 1 THEN '{Q.SITE}/IMG/f' || o_orderkey || '.pdf' ELSE '{Q.SITE}/IMG/f' || o_orderkey || '.zip' END"""
+KIND = "CASE WHEN {x} LIKE '%.zip' THEN 'zips' ELSE 'documents' END"
+SITE_WALK = f"""site_orders AS (SELECT o_orderkey, o_orderdate, {SITE_FILE} AS link FROM orders),
+site_headers AS (SELECT o_orderkey, o_orderdate, link,
+  CASE WHEN o_orderkey % 11 = 3 THEN replace(link, '/IMG/', '/files/') ELSE link END AS final_url FROM site_orders),
+site_members AS (SELECT DISTINCT final_url AS zip_url, 'dossier_' || l_linenumber || '/piece_' || l_partkey ||
+    CASE l_partkey % 4 WHEN 0 THEN '.pdf' WHEN 1 THEN '.PDF' WHEN 2 THEN '.exe' ELSE '.docx' END AS member_path
+  FROM lineitem JOIN site_headers ON l_orderkey = o_orderkey WHERE o_orderkey % 3 = 2),
+seen_in AS (SELECT {KIND.format(x='link')} AS kind, link AS key FROM site_orders WHERE o_orderkey % 31 = 5
+  UNION SELECT {KIND.format(x='final_url')}, final_url FROM site_headers WHERE o_orderkey % 37 = 6
+  UNION SELECT 'documents', zip_url || '/' || member_path FROM site_members WHERE member_path LIKE 'dossier_1/%'),
+stops AS (SELECT d, y, s, min(p) FILTER ((d + 3 * y + s + p) % 7 = 5) AS stop FROM lists_ GROUP BY ALL),
+listed AS (SELECT * FROM placed JOIN stops USING (d, y, s) WHERE y < 2 AND (stop IS NULL OR p < stop)),
+site_links AS (SELECT *, CASE WHEN o_orderkey % 19 = 7 THEN 'No link text' WHEN k % 13 = 5 THEN 'Empty project' END AS lost
+  FROM files_ JOIN listed USING (k) WHERE k % 29 <> 11),
+fresh AS (SELECT * FROM site_links WHERE lost IS NULL AND abs_url NOT IN (SELECT key FROM seen_in)),
+lost_rows AS (
+  SELECT {Q.list_url(p='stop')} AS url, 'No year' AS reason FROM stops WHERE y < 2 AND stop IS NOT NULL
+  UNION ALL SELECT {Q.list_url(p='0')}, 'Page not captured' FROM sections ANTI JOIN lists_ USING (d, y, s) WHERE y < 2
+  UNION ALL SELECT '{Q.SITE}/projet-' || k || '.html', 'Page not captured' FROM listed WHERE k % 29 = 11
+  UNION ALL SELECT abs_url, lost FROM site_links WHERE lost IS NOT NULL
+  UNION ALL SELECT abs_url, 'No header' FROM fresh WHERE o_orderkey % 17 = 2)"""
+SITE_ROWS = f"""site_docs AS (SELECT row_number() OVER (ORDER BY d, y, s, p, card, pos) AS crawl_seq, f.title,
+  {Q.project_title('k')} AS project, '{Q.SITE}/projet-' || k || '.html#top' AS source_page_url, final_url AS source_file_url,
+  CASE WHEN o_orderkey % 23 = 4 THEN 'inconnue' ELSE strftime(h.o_orderdate, '%a, %d %b %Y %H:%M:%S') || ' GMT' END AS publication_lastmodified,
+  CASE WHEN o_orderkey % 23 <> 4 THEN h.o_orderdate END AS ts,
+  {Q.quote(SITE_RUN.authority)} AS authority, {Q.quote(SITE_RUN.category_local)} AS category_local,
+  CAST(2022 + y AS VARCHAR) AS year, ' ' || {Q.department_label()} AS department_label
+  FROM fresh f JOIN site_headers h USING (o_orderkey) JOIN nation ON n_nationkey = d WHERE o_orderkey % 17 <> 2),
+site_rows AS (
+  SELECT d.*, NULL AS member_path FROM site_docs d WHERE source_file_url NOT LIKE '%.zip'
+    AND source_file_url NOT IN (SELECT key FROM seen_in WHERE kind = 'documents')
+  UNION ALL SELECT d.*, m.member_path FROM site_docs d JOIN site_members m ON m.zip_url = d.source_file_url
+  WHERE d.source_file_url NOT IN (SELECT key FROM seen_in WHERE kind = 'zips')
+    AND m.zip_url || '/' || m.member_path NOT IN (SELECT key FROM seen_in WHERE kind = 'documents'))"""
+
+
+def on_site(select: str, limit: int = 0) -> str:
+    return with_(Q.SITE_LINKS, SECTIONS, SITE_WALK, SITE_ROWS, Q.classified("site_rows", limit), Q.tagged("rows_"),
+                 Q.ACCEPTED, select=select)
+
+
+CHAR = "chr(CAST('0x' || substr(c, 2) AS INTEGER))"
+REQUESTS = rf"""links AS (SELECT page_id, url, unnest(regexp_extract_all(html, '<a href="([^"]*)"', 1)) AS href,
+  generate_subscripts(regexp_extract_all(html, '<a href="([^"]*)"', 1), 1) - 1 AS pos FROM pages),
+absolute AS (SELECT page_id, pos, (page_id + pos) % 7 AS n, CASE WHEN href LIKE '/%'
+  THEN regexp_extract(url, '^[a-z]+://[^/?#]*') || href ELSE href END AS link FROM links),
+varied AS (SELECT page_id, pos, CASE n WHEN 0 THEN link WHEN 1 THEN link || '?b=2&a=1&&c' WHEN 2 THEN link || '?a=1&c=&b=2#part'
+  WHEN 3 THEN replace(link, '.example.', '.EXAMPLE.') WHEN 4 THEN link || '?q=%e9+x%20y&q=%7e&%='
+  WHEN 5 THEN regexp_replace(link, '^(https?://[^/]*)', '\1:443') ELSE link || ' é%41%2f%3F' END AS u FROM absolute),
+cut AS (SELECT page_id, pos, lower(regexp_extract(u, '^([^:]*)://', 1)) AS scheme, lower(regexp_extract(u, '://([^/?#]*)', 1)) AS host,
+  array_to_string(list_transform(regexp_extract_all(regexp_extract(u, '://[^/?#]*([^#]*)', 1), '(?s)%[0-9A-Fa-f]{{2}}|.'), lambda c:
+    CASE WHEN regexp_full_match(c, '%[0-9A-Fa-f]{{2}}') THEN
+      CASE WHEN regexp_full_match({CHAR}, '[A-Za-z0-9._~-]') THEN {CHAR} ELSE upper(c) END
+    WHEN regexp_full_match(c, '[A-Za-z0-9._~/!$&''()*+,;=:@?-]') THEN c ELSE url_encode(c) END), '') AS tail FROM varied),
+formed AS (SELECT page_id, pos, scheme || '://' ||
+    CASE WHEN scheme = 'https' THEN regexp_replace(host, ':443$', '') ELSE host END ||
+    CASE WHEN tail = '' OR tail LIKE '?%' THEN '/' ELSE '' END || string_split(tail, '?')[1] AS place,
+  list_sort(list_transform(list_filter(string_split(replace(regexp_extract(tail, '\?(.*)', 1), '%20', '+'), '&'), lambda q: q <> ''),
+    lambda q: CASE WHEN contains(q, '=') THEN q ELSE q || '=' END)) AS pairs FROM cut),
+requests AS (SELECT page_id, pos, place || CASE WHEN len(pairs) = 0 THEN '' ELSE '?' || array_to_string(pairs, '&') END AS request FROM formed)"""
+
+SECOND, THIRD = (f"'{(RUN_TS + n * DAY).isoformat()}'" for n in (1, 2))
+
+
+def progress_rounds(rounds: int) -> str:
+    """Limited runs on top of each other: what each accepts, and the archives it finishes."""
+    out = [f"pool AS (SELECT *, source_file_url || coalesce('/' || member_path, '') AS key FROM rows_ WHERE pre IS NULL)"]
+    for n in range(rounds):
+        gone = "".join(f" AND key NOT IN (SELECT key FROM accepted{i})" for i in range(n)) + "".join(
+            f" AND source_file_url NOT IN (SELECT zip_url FROM done{i})" for i in range(n))
+        known = " UNION ".join(["SELECT key FROM seen_in WHERE kind = 'documents'", *(f"SELECT key FROM accepted{i}" for i in range(n + 1))])
+        out.append(f"accepted{n} AS (SELECT * FROM (SELECT *, row_number() OVER (ORDER BY crawl_seq, member_path NULLS FIRST) AS r "
+                   f"FROM pool WHERE true{gone}) WHERE r <= {LIMIT} AND category IS NOT NULL)")
+        out.append(f"done{n} AS (SELECT zip_url FROM members_in WHERE {Q.file_ext('member_path')} IN ({Q._EXTS}) "
+                   f"AND zip_url IN (SELECT source_file_url FROM accepted{n} WHERE file_from_zip) GROUP BY zip_url "
+                   f"HAVING bool_and(zip_url || '/' || member_path IN ({known})))")
+    return ",\n".join(out)
+
+
 ORACLE: dict[str, str] = {
     "scan_pages": "SELECT page_id, url, html FROM pages",
     "scan_file_headers": docs("SELECT * FROM headers_in", Q.HEADERS),
@@ -300,6 +382,37 @@ UNION ALL SELECT project, id, true FROM created""",
         "source_page_url, publication_datetime_dcformat, year, departments, departments_sources FROM accepted"),
     "monitor_run": on_new(
         "SELECT * FROM old_state UNION ALL SELECT * FROM new_state", COMPLETE, NEW_STATE, OLD_STATE),
+    "site_run": on_site(
+        "SELECT CAST(0 AS BIGINT) AS batch, event_data_key, project_id, title, source_page_url, department_from_scraper, year FROM accepted"),
+    "site_run_limited": on_site("SELECT event_data_key, title FROM accepted", LIMIT),
+    "walk_drops": site("SELECT url, reason FROM lost_rows", SECTIONS, SITE_WALK),
+    "run_metrics": on_site(
+        "SELECT reason AS name, count(*) AS n FROM (SELECT reason FROM rows_ UNION ALL SELECT reason FROM lost_rows) "
+        "WHERE reason IS NOT NULL GROUP BY reason UNION ALL SELECT 'accepted', count(*) FROM accepted", LIMIT),
+    "request_identity": with_(
+        REQUESTS, select="SELECT request, page_id, CAST(pos AS INTEGER) AS pos, count(*) OVER (PARTITION BY request) AS links "
+        "FROM requests QUALIFY row_number() OVER (PARTITION BY request ORDER BY page_id, pos) = 1"),
+    "project_registry": """WITH asked AS (SELECT DISTINCT CASE o_orderkey % 3
+    WHEN 0 THEN 'Customer#' || lpad(CAST(o_custkey AS VARCHAR), 9, '0')
+    WHEN 1 THEN CAST(o_custkey AS VARCHAR) ELSE 'Nouveau projet ' || o_custkey END AS project FROM orders),
+known AS (SELECT c_name AS project, min(c_custkey) AS id FROM customer GROUP BY c_name),
+found AS (SELECT project, coalesce(try_cast(project AS BIGINT), id) AS id FROM asked LEFT JOIN known USING (project)),
+created AS (SELECT project, late AS allocation, (SELECT max(c_custkey) FROM customer) + row_number() OVER (ORDER BY late, project) AS id
+  FROM (SELECT project, CAST(length(project) % 2 AS BIGINT) AS late FROM found WHERE id IS NULL))
+SELECT project, id AS project_ref, false AS created, CAST(NULL AS BIGINT) AS allocation FROM found WHERE id IS NOT NULL
+UNION ALL SELECT project, id, allocation = 1, allocation FROM created""",
+    "seen_as_of": on_new(
+        f"""SELECT *, 0 AS runs FROM old_state UNION ALL SELECT *, 1 FROM old_state UNION ALL SELECT *, 2 FROM old_state
+UNION ALL SELECT kind, key, last_modified, {SECOND}, target_year, 1 FROM added WHERE crawl_seq % 4 < 2
+UNION ALL SELECT kind, key, last_modified, CASE WHEN crawl_seq % 4 < 2 THEN {SECOND} ELSE {THIRD} END, target_year, 2 FROM added""",
+        COMPLETE, OLD_STATE, f"""added AS (
+  SELECT 'documents' AS kind, event_data_key AS key, {ISO} AS last_modified, year AS target_year, crawl_seq FROM accepted
+  UNION ALL SELECT DISTINCT 'zips', source_file_url, {ISO}, year, crawl_seq FROM accepted
+  WHERE file_from_zip AND source_file_url IN (SELECT zip_url FROM complete))"""),
+    "zip_progress": docs(
+        "SELECT key, '2001-02-03T04:05:06' AS last_seen FROM seen_in WHERE kind = 'zips'" + "".join(
+            f" UNION ALL SELECT zip_url, '{(RUN_TS + (n + 1) * DAY).isoformat()}' FROM done{n}" for n in range(3)),
+        Q.MEMBERS, Q.SEEN, NEW_ROWS, Q.classified("new_rows").replace("FROM judged)", "FROM judged)"), progress_rounds(3)),
     "published_after_run": on_new("SELECT CAST(0 AS BIGINT) AS batch, event_data_key, project_id FROM accepted"),
 }
 ORACLE["monitor_stream"] = ORACLE["monitor_run"]

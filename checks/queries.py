@@ -8,6 +8,7 @@ renders them.
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,9 +25,10 @@ from docmonitor.operators import state as S
 from docmonitor.params import RunParams
 from docmonitor.plans.documents import classify, document_records
 from docmonitor.plans.monitor import plan_run, published_documents, run_monitor
+from docmonitor.plans.site import site_files, site_run as run_site
 from docmonitor.plans.walk import walk
 from docmonitor.session import configure, materialise, scratch_path
-from docmonitor.sources import dims, pages as pages_src, sinks, state as store
+from docmonitor.sources import dims, pages as pages_src, registry, sinks, state as store
 from docmonitor.streaming.monitor import stream_monitor
 
 RUN_TS = dt.datetime(2002, 3, 4, 5, 6, 7)
@@ -36,7 +38,11 @@ PARAMS = RunParams(
 )
 SITE_PARAMS = RunParams(project="x", from_year=2022, to_year=2023, run_ts=RUN_TS)
 LIMIT = 1000  # the upload limit under test
-LARGE_LIMIT = 6000  # past what one task ranks on its own
+LARGE_LIMIT = 6000
+SITE_RUN = RunParams(
+    project="x", run_id="r-3", from_year=2022, to_year=2023, run_ts=RUN_TS, dry_run=False
+)
+DAY = dt.timedelta(days=1)
 
 QUERIES: dict = {}
 
@@ -289,7 +295,7 @@ def upload_limit(spark, sf):
 
 @query
 def upload_limit_large(spark, sf):
-    """A limit too large for one task: found by range instead."""
+    """A larger limit."""
     return _limited(spark, sf, LARGE_LIMIT)
 
 
@@ -598,4 +604,119 @@ def published_after_run(spark, sf):
     return published_documents(spark, root).select("batch", "event_data_key", "project_id")
 
 
+# -- from pages to publication ------------------------------------------------------------
+def _site_runs(spark, sf, root, params, batches=(0,)):
+    """Runs over the faulty site, on top of an earlier state."""
+    store.write_seen(V.site_seen_in(spark, sf), root, -1)
+    store.commit_batch(spark, root, -1, "r-1", RUN_TS, 0)
+    for batch in batches:
+        run_site(
+            V.pages_in(spark, sf, faulty=True), V.site_headers_in(spark, sf), V.site_members_in(spark, sf),
+            params, root, batch, V.START_URL,
+        )
+
+
+@query
+def site_run(spark, sf):
+    """What two runs over one site have published: the second adds none."""
+    root = scratch_path(spark, "site")
+    _site_runs(spark, sf, root, SITE_RUN, (0, 1))
+    return published_documents(spark, root).select(
+        "batch", "event_data_key", "project_id", "title", "source_page_url", "department_from_scraper", "year"
+    )
+
+
+@query
+def site_run_limited(spark, sf):
+    """The first documents in the walk's order."""
+    root = scratch_path(spark, "site-limited")
+    _site_runs(spark, sf, root, replace(SITE_RUN, upload_limit=LIMIT))
+    return published_documents(spark, root).select("event_data_key", "title")
+
+
+@query
+def walk_drops(spark, sf):
+    """All that a walk over a faulty site loses, with reasons."""
+    _, lost = site_files(
+        V.pages_in(spark, sf, faulty=True), V.site_headers_in(spark, sf), V.site_seen_in(spark, sf),
+        V.START_URL, SITE_RUN,
+    )
+    return lost
+
+
+@query
+def run_metrics(spark, sf):
+    """Counts that a run kept in its manifest row."""
+    root = scratch_path(spark, "metrics")
+    _site_runs(spark, sf, root, replace(SITE_RUN, upload_limit=LIMIT))
+    runs = store.committed_batches(spark, root).where("batch_id = 0")
+    counts = F.map_concat(F.create_map(F.lit("accepted"), F.col("accepted")), F.col("dropped"))
+    return runs.select(F.explode(counts).alias("name", "n"))
+
+
+def _varied(url, n):
+    """Other forms of an address, some of the same request."""
+    return (
+        F.when(n == 0, url).when(n == 1, F.concat(url, F.lit("?b=2&a=1&&c")))
+        .when(n == 2, F.concat(url, F.lit("?a=1&c=&b=2#part")))
+        .when(n == 3, F.replace(url, F.lit(".example."), F.lit(".EXAMPLE.")))
+        .when(n == 4, F.concat(url, F.lit("?q=%e9+x%20y&q=%7e&%=")))
+        .when(n == 5, F.regexp_replace(url, "^(https?://[^/]*)", "$1:443"))
+        .otherwise(F.concat(url, F.lit(" é%41%2f%3F")))
+    )
+
+
+@query
+def request_identity(spark, sf):
+    """Requests behind the links of all pages, each link in one of seven forms."""
+    pages = V.table(spark, sf, "pages")
+    hrefs = F.regexp_extract_all("html", F.lit('<a href="([^"]*)"'), F.lit(1))
+    links = pages.select("page_id", "url", F.posexplode(hrefs).alias("pos", "href"))
+    links = links.withColumn("link", urls.resolve_url(F.col("url"), F.col("href")))
+    links = links.withColumn("link", _varied(F.col("link"), F.expr("(page_id + pos) % 7")))
+    links = links.select("page_id", "pos", urls.request_identity(F.col("link")).alias("request"))
+    first = N.dedupe_requests(links, "request", "page_id", "pos")
+    return first.join(links.groupBy("request").agg(F.count(F.lit(1)).alias("links")), "request")
+
+
+@query
+def project_registry(spark, sf):
+    """Ids after two allocations with titles in common, the second of them repeated."""
+    root = scratch_path(spark, "registry")
+    requests, projects = V.project_requests(spark, sf), V.projects_in(spark, sf)
+    first = requests.where(F.length("project") % 2 == 0)
+    for asked, allocation in ((first, 0), (requests, 1), (requests, 1)):
+        found = registry.allocate_projects(asked, projects, root, allocation)
+    given = registry.created_projects(spark, root).select("project", "allocation")
+    return found.join(given, "project", "left")
+
+
+@query
+def seen_as_of(spark, sf):
+    """The state after each of three runs, read after a compaction."""
+    root = scratch_path(spark, "as-of")
+    docs, members = V.docs_in(spark, sf), V.members_in(spark, sf)
+    params = RunParams(project="x", from_year=1995, to_year=2001, run_ts=RUN_TS, dry_run=False)
+    store.write_seen(V.seen_in(spark, sf), root, -1)
+    store.commit_batch(spark, root, -1, "r-1", RUN_TS, 0)
+    run_monitor(docs.where("crawl_seq % 4 < 2"), members, replace(params, run_ts=RUN_TS + DAY), root, 0)
+    store.compact_seen(spark, root, 4)
+    run_monitor(docs, members, replace(params, run_ts=RUN_TS + 2 * DAY), root, 1)
+    store.compact_seen(spark, root, 4)
+    states = [store.read_seen_as_of(spark, root, RUN_TS + n * DAY).withColumn("runs", F.lit(n)) for n in range(3)]
+    return states[0].unionByName(states[1]).unionByName(states[2])
+
+
+@query
+def zip_progress(spark, sf):
+    """Archives in the state after each of three limited runs, finished by their progress alone."""
+    root = scratch_path(spark, "progress")
+    params = RunParams(project="x", from_year=1995, to_year=2001, dry_run=False, upload_limit=LIMIT, run_ts=RUN_TS)
+    store.write_seen(V.seen_in(spark, sf), root, -1)
+    store.commit_batch(spark, root, -1, "r-1", RUN_TS, 0)
+    for n in range(3):
+        run_monitor(V.docs_in(spark, sf), V.members_in(spark, sf), replace(params, run_ts=RUN_TS + (n + 1) * DAY), root, n)
+    return store.read_seen(spark, root).where("kind = 'zips'").select("key", "last_seen")
+
+
 QUERIES["document_records"] = QUERIES.pop("document_records_")

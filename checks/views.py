@@ -160,6 +160,14 @@ def _blocks(col: str, fn) -> Column:
     return F.array_join(F.transform(col, fn), "")
 
 
+def site_faults() -> dict[str, Column]:
+    """Where the faulty site is broken, by its keys (``views_sql.SITE_FAULTS`` says the same)."""
+    return {
+        "no_year": F.expr("(d + 3 * y + s + p) % 7 = 5"), "no_title": F.expr("k % 13 = 5"),
+        "not_captured": F.expr("k % 29 = 11"),
+    }
+
+
 def site_projects(spark, sf_dir) -> DataFrame:
     """Projects are runs of eight order keys, so no page lists more than eight files."""
     k = F.expr("o_orderkey div 8")
@@ -183,21 +191,26 @@ def list_url(d, y, s, p) -> Column:
     )
 
 
-def _file_link(f) -> Column:
+def _file_link(f, faulty: bool = False) -> Column:
     k = f.o_orderkey
+    shown = F.when(k % 19 == 7, F.lit("")) if faulty else F.when(F.lit(False), F.lit(""))
     href = _pick(
         k % 3, _html("https://files.example.org/IMG/f ", k, ".pdf"),
         _html("/IMG/f", k, ".pdf"), _html("../IMG/./f", k, ".zip"),
     )
     return _html(
         "<div class=\"fr-download\"><p><a class='x fr-download__link' href=\"", href,
-        "\">\n  Avis ", k, " du ", F.date_format(f.o_orderdate, "yyyy-MM-dd"),
-        "\n<span>PDF</span></a></div>",
+        "\">", shown.otherwise(_html("\n  Avis ", k, " du ", F.date_format(f.o_orderdate, "yyyy-MM-dd"), "\n<span>PDF</span>")),
+        "</a></div>",
     )
 
 
-def pages_in(spark, sf_dir) -> DataFrame:
-    """``(url, html)``: start page, departments, paginated lists, projects."""
+def pages_in(spark, sf_dir, faulty: bool = False) -> DataFrame:
+    """``(url, html)``: start page, departments, paginated lists, projects.
+
+    The faulty site lacks years, titles, link texts and whole pages (``site_faults``).
+    """
+    faults = site_faults() if faulty else {name: F.lit(False) for name in site_faults()}
     projects = site_projects(spark, sf_dir)
     nation = table(spark, sf_dir, "nation")
     url = lambda *parts: _html(f"{SITE}/", *parts)
@@ -247,9 +260,11 @@ def pages_in(spark, sf_dir) -> DataFrame:
     lists = lists.join(cards, [*key, "p"], "left")
     d, y, s, p = map(F.col, ("d", "y", "s", "p"))
     crumbs = "".join(f"<li><a href='/n{i}.html'>niveau {i}</a></li>" for i in range(7))
+    year = F.when(faults["no_year"], F.lit("")).otherwise(
+        _html(f"<nav id=breadcrumb><ol class='fr-breadcrumb__list'>{crumbs}<li><a href='#'>", y + 2022,
+              "</a></li><li><a href='#'>ici</a></li></ol></nav>"))
     lists = lists.select(list_url(d, y, s, p).alias("url"), _page(
-        f"<nav id=breadcrumb><ol class='fr-breadcrumb__list'>{crumbs}<li><a href='#'>", y + 2022,
-        "</a></li><li><a href='#'>ici</a></li></ol></nav><div id=contenu><div class=liste-articles>",
+        year, "<div id=contenu><div class=liste-articles>",
         F.coalesce(_blocks("cards", lambda c: _html(
             "<div class=fr-card><h3><a class=\"fr-card__link\" href=\"projet-", c.k, ".html#top\">",
             "Projet ", c.k, "</a></h3></div>",
@@ -259,14 +274,61 @@ def pages_in(spark, sf_dir) -> DataFrame:
         ">Suivant</a></ul></div>",
     ).alias("html"))
 
-    project_pages = projects.select(url("projet-", F.col("k"), ".html").alias("url"), _page(
-        "<h1 class=\"big titre-article\">Projet n&deg;&nbsp;", F.col("k"), " &amp; annexes<!-- c --> x</h1>",
-        "<div id='contenu'>", _blocks("files", _file_link), "<br><p>fin<p></div>",
+    title = F.when(faults["no_title"], F.lit("")).otherwise(_html(
+        "<h1 class=\"big titre-article\">Projet n&deg;&nbsp;", F.col("k"), " &amp; annexes<!-- c --> x</h1>"))
+    captured = projects.where(~faults["not_captured"])
+    project_pages = captured.select(url("projet-", F.col("k"), ".html").alias("url"), _page(
+        title, "<div id='contenu'>", _blocks("files", lambda f: _file_link(f, faulty)), "<br><p>fin<p></div>",
     ).alias("html"))
     site = start.unionByName(departments).unionByName(lists).unionByName(project_pages)
     return spread(site, "url")
 
 
+def _site_file(k: Column) -> Column:
+    """Address of a site's file, as its page links it."""
+    k = k.cast("string")
+    return _pick(F.col("o_orderkey") % 3, _html("https://files.example.org/IMG/f ", k, ".pdf"),
+                 _html(f"{SITE}/IMG/f", k, ".pdf"), _html(f"{SITE}/IMG/f", k, ".zip"))
+
+
+def _moved(url: Column) -> Column:
+    """Files of every eleventh order are served from elsewhere."""
+    return F.when(F.col("o_orderkey") % 11 == 3, F.replace(url, F.lit("/IMG/"), F.lit("/files/"))).otherwise(url)
+
+
+def site_headers_in(spark, sf_dir) -> DataFrame:
+    """Headers of the site's files; every seventeenth has none."""
+    url = _site_file(F.col("o_orderkey"))
+    return table(spark, sf_dir, "orders").where("o_orderkey % 17 <> 2").select(
+        url.alias("request_url"), _moved(url).alias("final_url"),
+        F.when(F.col("o_orderkey") % 23 == 4, "inconnue").otherwise(
+            F.date_format("o_orderdate", "EEE, dd MMM yyyy HH:mm:ss 'GMT'")).alias("last_modified"),
+    )
+
+
+def site_members_in(spark, sf_dir) -> DataFrame:
+    """Members of the site's archives, by the address these are served from."""
+    archives = table(spark, sf_dir, "orders").where("o_orderkey % 3 = 2").select(
+        "o_orderkey", _moved(_site_file(F.col("o_orderkey"))).alias("zip_url"))
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", _member_path().alias("member_path")).distinct()
+    return lines.join(archives, F.col("l_orderkey") == F.col("o_orderkey")).select("zip_url", "member_path").transform(
+        spread, "zip_url", "member_path")
+
+
+def site_seen_in(spark, sf_dir) -> DataFrame:
+    """What an earlier run knows of the site: linked files, moved files, archives and members."""
+    link = _site_file(F.col("o_orderkey"))
+    kind = lambda url: F.when(is_zip(url), "zips").otherwise("documents").alias("kind")
+    orders = table(spark, sf_dir, "orders")
+    linked = orders.where("o_orderkey % 31 = 5").select(kind(link), link.alias("key"))
+    served = orders.where("o_orderkey % 37 = 6").select(kind(_moved(link)), _moved(link).alias("key"))
+    members = site_members_in(spark, sf_dir).where("member_path LIKE 'dossier_1/%'").select(
+        F.lit("documents").alias("kind"), event_key(F.lit(True), F.col("zip_url"), F.col("member_path")).alias("key"))
+    return linked.unionByName(served).unionByName(members).distinct().select(
+        "kind", "key", F.lit("2001-01-01T00:00:00").alias("last_modified"),
+        F.lit("2001-02-03T04:05:06").alias("last_seen"), F.lit("2001").alias("target_year"))
+
+
 # -- archives ---------------------------------------------------------------------
 def _zip_bytes(paths: list) -> bytes:
     body = io.BytesIO()

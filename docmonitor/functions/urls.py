@@ -33,6 +33,56 @@ def request_url(url: Column) -> Column:
     return F.substring_index(url, "#", 1)
 
 
+def _let(value: Column, use) -> Column:
+    """``use(value)``, with the value's expression in the plan once."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _one_form(tail: Column) -> Column:
+    """Escapes in one form: unreserved characters bare, reserved ones as they stand, all
+    others as upper-case ``%XX`` of their UTF-8 bytes."""
+
+    def one(c: Column) -> Column:
+        char = F.char(F.conv(F.substr(c, F.lit(2)), 16, 10).cast("int"))
+        return (
+            F.when(c.rlike(r"^[A-Za-z0-9._~/!$&'()*+,;=:@?-]$"), c)
+            .when(~c.rlike("^%.."), F.replace(F.url_encode(c), F.lit("+"), F.lit("%20")))
+            .when(char.rlike(r"^[A-Za-z0-9._~-]$"), char).otherwise(F.upper(c))
+        )
+
+    parts = F.regexp_extract_all(tail, F.lit(r"(?s)%[0-9A-Fa-f]{2}|."), F.lit(0))
+    return F.array_join(F.transform(parts, one), "")
+
+
+def request_identity(url: Column, method: str = "GET") -> Column:
+    """What makes two requests the same: the address in one canonical form, with the method
+    before it unless that is ``GET``.
+
+    Scheme and host are in lower case, the scheme's own port and the fragment are left
+    out, an empty path is ``/``, escapes have one form, and the query's arguments are ordered, a
+    blank as ``+`` and a missing value as an empty one.  Other texts than ``scheme://`` addresses
+    keep their form without the fragment.
+    """
+    whole = r"(?s)^([A-Za-z][A-Za-z0-9+.-]*)://([^/?]*@)?([^/?]*)(.*)$"
+
+    def canonical(bare: Column) -> Column:
+        scheme, host = (F.lower(F.regexp_extract(bare, whole, i)) for i in (1, 3))
+        port = F.when(scheme == "http", ":(80)?$").when(scheme == "https", ":(443)?$").otherwise(":$")
+        place = F.concat(scheme, F.lit("://"), F.regexp_extract(bare, whole, 2), F.regexp_replace(host, port, F.lit("")))
+        return F.concat(place, _let(_one_form(F.regexp_extract(bare, whole, 4)), path_and_query))
+
+    def path_and_query(tail: Column) -> Column:
+        path = F.coalesce(F.nullif(F.substring_index(tail, "?", 1), F.lit("")), F.lit("/"))
+        asked = F.split(F.replace(F.regexp_extract(tail, r"\?(.*)", 1), F.lit("%20"), F.lit("+")), "&")
+        pairs = F.transform(F.filter(asked, lambda x: x != ""), lambda x: F.when(F.contains(x, F.lit("=")), x).otherwise(F.concat(x, F.lit("="))))
+        return F.concat(path, F.regexp_replace(F.array_join(F.array_sort(pairs), "&"), "^(?=.)", "?"))
+
+    # most are in that form already
+    address = _let(request_url(without_breaks(url)), lambda bare: F.when(
+        bare.rlike(r"^https?://[a-z0-9.-]+/[A-Za-z0-9/._~-]*$") | ~bare.rlike(whole), bare).otherwise(canonical(bare)))
+    return address if method == "GET" else F.concat(F.lit(f"{method} "), address)
+
+
 def is_zip(url: Column) -> Column:
     """Archive by its whole URL, so ``x.zip?d=1`` is none."""
     return F.endswith(F.lower(url), F.lit(".zip"))

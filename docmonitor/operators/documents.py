@@ -11,9 +11,12 @@ from docmonitor.params import RunParams
 from docmonitor.session import materialise
 
 DROP = "_drop_reason"
-# Orders past this many rows per task are ranked by range, not by a top-n heap.
-# Rows one task sorts when a limit is located inside a range.
-ROWS_PER_RANGE = 1_000_000
+#: Every reason a row may be dropped for, from the page it was linked on to the limit.
+REASONS = (
+    "Page not captured", "No year", "No link text", "No header", "No department code", "Bad Last-Modified",
+    "No category", "No file URL", "Empty project", "Empty title", "No authority", "No page URL",
+    ref.REASON_UNSUPPORTED, ref.REASON_LIMIT,
+)
 
 
 def parse_http_date(df: DataFrame) -> DataFrame:
@@ -215,12 +218,15 @@ def global_rank(df: DataFrame, *order: str) -> DataFrame:
 
 
 def _in_ranges(df: DataFrame, order: list[str]) -> DataFrame:
-    """The rows with ``_range``, rising with ``order``, as a written table."""
-    rows = materialise(df, "rank-input")
-    ranges = max(df.sparkSession.sparkContext.defaultParallelism, -(-rows.count() // ROWS_PER_RANGE))
+    """The rows with ``_range``, rising with ``order``, as a written table.
+
+    Bounds come from a sample, so ``df`` is scanned twice and written once; there are as many
+    ranges as the session has shuffle partitions.
+    """
+    spark = df.sparkSession
+    ranges = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     return materialise(
-        rows.repartitionByRange(ranges, *order).withColumn("_range", F.spark_partition_id()),
-        "ranges",
+        df.repartitionByRange(ranges, *order).withColumn("_range", F.spark_partition_id()), "ranges",
     )
 
 

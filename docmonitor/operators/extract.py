@@ -86,9 +86,12 @@ def page_title(source: DataFrame) -> DataFrame:
     return _of(source, "title").select("url", F.col("own_text").alias("project"))
 
 
-def download_links(source: DataFrame) -> DataFrame:
-    return (
-        _of(source, "download")
-        .where(F.col("href").isNotNull() & F.col("text").isNotNull())
-        .select("url", "pos", strip(F.col("text")).alias("title"), "href", "abs_url")
+def file_links(source: DataFrame) -> DataFrame:
+    """All links to files; those without a text have no ``title``."""
+    return _of(source, "download").where(F.col("href").isNotNull()).select(
+        "url", "pos", strip(F.col("text")).alias("title"), "href", "abs_url"
     )
+
+
+def download_links(source: DataFrame) -> DataFrame:
+    return file_links(source).where(F.col("title").isNotNull())

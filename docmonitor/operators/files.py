@@ -27,6 +27,18 @@ def with_headers(files: DataFrame, headers: DataFrame, on: str = "source_file_ur
     )
 
 
+def headers_or_reason(files: DataFrame, headers: DataFrame, on: str = "source_file_url") -> DataFrame:
+    """The same for all files: those nobody has a header of say so in ``_drop_reason``."""
+    kept = [c for c in files.columns if c not in (on, "publication_lastmodified")]
+    joined = files.join(headers, F.col(on) == F.col("request_url"), "left")
+    return joined.select(
+        *kept,
+        F.coalesce("final_url", on).alias(on),
+        F.col("last_modified").alias("publication_lastmodified"),
+        F.when(F.col("request_url").isNull(), "No header").alias("_drop_reason"),
+    )
+
+
 def route_zip(files: DataFrame, on: str = "source_file_url") -> tuple[DataFrame, DataFrame]:
     """``(archives, other files)`` by final URL."""
     zipped = is_zip(F.col(on))
@@ -103,6 +115,37 @@ def zip_supported_files(members: DataFrame, extensions) -> DataFrame:
     return supported_members(members, extensions).select("zip_url", "member_path")
 
 
+def progress_deltas(
+    accepted: DataFrame, members: DataFrame, progress: DataFrame, seen: DataFrame, extensions
+) -> DataFrame:
+    """What a run adds to each archive's progress: ``(zip_url, supported, published)``.
+
+    An archive is listed, and its members looked up in the state, only when a run touches it
+    for the first time; after that a run adds the number it publishes.  Listings do not change:
+    an archive with other members has another URL.
+    """
+    new = accepted.where("file_from_zip").groupBy(F.col("source_file_url").alias("zip_url")).agg(
+        F.countDistinct("event_data_key").alias("new")
+    )
+    first = new.select("zip_url").join(progress.select("zip_url"), "zip_url", "left_anti")
+    listed = supported_members(members, extensions).join(first, "zip_url", "left_semi").select(
+        "zip_url", "member_path").distinct()
+    unknown = not_seen_members(listed, seen).groupBy("zip_url").agg(F.count(F.lit(1)).alias("unknown"))
+    listed = listed.groupBy("zip_url").agg(F.count(F.lit(1)).alias("listed"))
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0))
+    return new.join(listed, "zip_url", "left").join(unknown, "zip_url", "left").select(
+        "zip_url", zero("listed").alias("supported"), (F.col("new") + zero("listed") - zero("unknown")).alias("published"),
+    )
+
+
+def finished_zips(progress: DataFrame, touched: DataFrame) -> DataFrame:
+    """Archives of ``touched`` whose supported members are all published: ``(zip_url)``."""
+    sums = progress.join(touched.select("zip_url"), "zip_url", "left_semi").groupBy("zip_url").agg(
+        F.sum("supported").alias("supported"), F.sum("published").alias("published")
+    )
+    return sums.where("supported > 0 AND supported = published").select("zip_url")
+
+
 def complete_zips(
     accepted: DataFrame, members: DataFrame, seen: DataFrame, extensions
 ) -> DataFrame:

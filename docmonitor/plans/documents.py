@@ -13,16 +13,18 @@ from docmonitor.session import require_utc
 ORDER = ("crawl_seq", "member_path")
 
 
-def classify(df: DataFrame, params: RunParams) -> DataFrame:
-    """Every input row, cleaned and tagged, with ``_drop_reason`` (null = accepted).
+def judge(df: DataFrame, params: RunParams) -> DataFrame:
+    """Every input row as it came, with ``_drop_reason`` (null = accepted).
 
-    Reasons come first and from the raw columns, so a filter on them reaches the
-    scan and only rows that stay are cleaned.  No shuffle: with a limit, its cut
-    is one scalar found beforehand.
+    No shuffle: with a limit, its cut is one scalar found beforehand.
     """
     require_utc(df.sparkSession)
     rows = df.transform(D.quarantine).transform(D.supported_only, params.supported_extensions)
-    rows = D.limit_docs(rows, params.upload_limit, *ORDER).transform(D.quarantine_late)
+    return D.limit_docs(rows, params.upload_limit, *ORDER).transform(D.quarantine_late)
+
+
+def clean(rows: DataFrame, params: RunParams) -> DataFrame:
+    """Judged rows, cleaned and tagged."""
     return (
         rows.withColumns({
             "department_from_scraper": department_code(F.col("department_label")),
@@ -38,6 +40,15 @@ def classify(df: DataFrame, params: RunParams) -> DataFrame:
     )
 
 
+def classify(df: DataFrame, params: RunParams) -> DataFrame:
+    """Every input row, cleaned and tagged, with ``_drop_reason``.
+
+    Reasons come first and from the raw columns, so a filter on them reaches the
+    scan and only rows that stay are cleaned.
+    """
+    return clean(judge(df, params), params)
+
+
 def document_records(df: DataFrame, params: RunParams) -> DataFrame:
     """Accepted documents."""
     return classify(df, params).transform(D.kept)

@@ -46,8 +46,24 @@ MANIFEST = T.StructType([
     T.StructField("run_id", T.StringType()),
     T.StructField("run_ts", T.TimestampNTZType()),
     T.StructField("accepted", T.LongType()),
+    T.StructField("dropped", T.MapType(T.StringType(), T.LongType())),  # rows by reason
 ])
 
+# What runs have added to archives: members they should hold, and members published.
+PROGRESS = T.StructType([
+    T.StructField("zip_url", T.StringType()),
+    T.StructField("supported", T.LongType()),
+    T.StructField("published", T.LongType()),
+])
+
+LOST = T.StructType(_strings("url", "reason"))
+
+REGISTRY = T.StructType([
+    T.StructField("project", T.StringType()),
+    T.StructField("project_ref", T.LongType()),
+])
+ALLOCATIONS = T.StructType([T.StructField("allocation", T.LongType())])
+
 STARTED = T.StructType([T.StructField("run_ts", T.TimestampNTZType())])
 
 COMPACTION = T.StructType([

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docmonitor import schema
 from docmonitor.functions.archives import zip_listing
+from docmonitor.operators.files import ZIPS
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
@@ -40,15 +43,38 @@ def headers_of_files(spark: SparkSession, path: str, glob: str = "*") -> DataFra
     )
 
 
-def read_zips(spark: SparkSession, path: str) -> DataFrame:
-    """``(zip_url, content)`` of every archive under ``path``."""
-    files = (
+def _archives(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    return (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", "*.[zZ][iI][pP]")
         .option("recursiveFileLookup", "true")
         .load(path)
     )
-    return files.select(F.col("path").alias("zip_url"), "content")
+
+
+def read_zips(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """``(zip_url, content)`` of every archive under ``path``."""
+    return _archives(spark, path).select(F.col("path").alias("zip_url"), "content")
+
+
+def fresh_zips(spark: SparkSession, path: str, seen: DataFrame) -> DataFrame:
+    """``(zip_url, content)`` of the archives under ``path`` that the state doesn't have.
+
+    Archives are listed first, by path alone, and only what is left after the anti-join with
+    the state is opened.  The paths of new archives pass the driver, which any listing of
+    files does too.
+    """
+    listed = _archives(spark, path).select(F.col("path").alias("zip_url"))
+    known = seen.where(F.col("kind") == ZIPS).select(F.col("key").alias("zip_url"))
+    new = [_literal(r["zip_url"]) for r in listed.join(known, "zip_url", "left_anti").toLocalIterator()]
+    if not new:
+        return spark.createDataFrame([], "zip_url string, content binary")
+    return read_zips(spark, new)
+
+
+def _literal(path: str) -> str:
+    """A path whose special characters stand for themselves."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
 
 
 def _listed(zips: DataFrame) -> DataFrame:

@@ -23,6 +23,8 @@ from docmonitor.operators.files import DOCUMENTS, ZIPS
 from docmonitor.session import materialise
 
 BATCH, COMPACTED = "batch", "compaction"
+#: Beside the keys of a compaction: the run that brought each.
+ORIGIN = (T.StructField("from_source", T.StringType()), T.StructField("from_batch", T.LongType()))
 
 
 def _read_or_empty(spark: SparkSession, table_schema: T.StructType, path: str) -> DataFrame:
@@ -129,16 +131,47 @@ def _state_of(spark: SparkSession, root: str, runs: DataFrame) -> DataFrame:
         live = live.unionByName(spark.range(1).select(
             F.lit(COMPACTED).alias("source"), F.lit(version).cast("long").alias("batch_id")))
     table = T.StructType([
-        *schema.SEEN.fields, T.StructField("source", T.StringType()), T.StructField("batch", T.LongType()),
+        *schema.SEEN.fields, *ORIGIN, T.StructField("source", T.StringType()), T.StructField("batch", T.LongType()),
     ])
     rows = _read_or_empty(spark, table, f"{root}/seen")
-    return rows.join(live.withColumnRenamed("batch_id", "batch"), ["source", "batch"], "left_semi").select(
-        *schema.SEEN.fieldNames())
+    rows = rows.join(live.withColumnRenamed("batch_id", "batch"), ["source", "batch"], "left_semi")
+    origin = {own.name: F.coalesce(own.name, F.col(part)) for own, part in zip(ORIGIN, ("source", "batch"))}
+    return rows.withColumns(origin).drop("source", "batch")
 
 
 def read_seen(spark: SparkSession, root: str) -> DataFrame:
     """State of all finished runs; partitions of unfinished ones don't count."""
-    return _state_of(spark, root, committed_batches(spark, root))
+    return _state_of(spark, root, committed_batches(spark, root)).select(*schema.SEEN.fieldNames())
+
+
+def read_seen_as_of(spark: SparkSession, root: str, time: dt.datetime) -> DataFrame:
+    """State as it was at a time: that of the runs the manifest dates no later.
+
+    A compaction keeps beside each key the run that brought it, so it doesn't matter
+    whether the state was compacted since.
+    """
+    runs = committed_batches(spark, root).where(F.col("run_ts") <= F.lit(time).cast("timestamp_ntz"))
+    runs = materialise(runs.select("source", "batch_id"), "runs")
+    covered, _ = _last_compaction(spark, root)
+    rows = _state_of(spark, root, runs.unionByName(covered).distinct())
+    own = runs.toDF(*(c.name for c in ORIGIN))
+    return rows.join(own, [c.name for c in ORIGIN], "left_semi").select(*schema.SEEN.fieldNames())
+
+
+def write_progress(deltas: DataFrame, root: str, batch_id: int, source: str = BATCH) -> DataFrame:
+    """Add a run's part of the archives' progress (repeatable), and read it back."""
+    path = f"{root}/progress/source={source}/batch={batch_id}"
+    deltas.select(*schema.PROGRESS.fieldNames()).write.mode("overwrite").parquet(path)
+    return deltas.sparkSession.read.schema(schema.PROGRESS).parquet(path)
+
+
+def read_progress(spark: SparkSession, root: str) -> DataFrame:
+    """Progress rows of all finished runs; their sums are the archives' progress."""
+    table = T.StructType([
+        *schema.PROGRESS.fields, T.StructField("source", T.StringType()), T.StructField("batch", T.LongType())])
+    done = committed_batches(spark, root).select("source", F.col("batch_id").alias("batch"))
+    return _read_or_empty(spark, table, f"{root}/progress").join(done, ["source", "batch"], "left_semi").select(
+        *schema.PROGRESS.fieldNames())
 
 
 def write_seen(new: DataFrame, root: str, batch_id: int, source: str = BATCH) -> None:
@@ -150,10 +183,10 @@ def write_seen(new: DataFrame, root: str, batch_id: int, source: str = BATCH) ->
 
 def commit_batch(
     spark: SparkSession, root: str, batch_id: int, run_id: str | None,
-    run_ts: dt.datetime, accepted: int, source: str = BATCH,
+    run_ts: dt.datetime, accepted: int, source: str = BATCH, dropped: dict[str, int] | None = None,
 ) -> None:
     """The run is done: later runs see its state from here on."""
-    row = spark.createDataFrame([(source, batch_id, run_id, run_ts, accepted)], schema.MANIFEST)
+    row = spark.createDataFrame([(source, batch_id, run_id, run_ts, accepted, dropped)], schema.MANIFEST)
     row.coalesce(1).write.mode("overwrite").parquet(f"{root}/manifest/run={source}-{batch_id}")
 
 

@@ -10,15 +10,17 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 @pytest.fixture(scope="session")
 def spark():
-    session = (
+    builder = (
         SparkSession.builder.master("local[4]").appName("tests")
         .config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.session.timeZone", "UTC").getOrCreate()
+        .config("spark.sql.session.timeZone", "UTC")
     )
-    session.sparkContext.setLogLevel("ERROR")
+    session = builder.getOrCreate()
     if not session.conf.get("spark.checkpoint.dir", ""):
-        session.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="docmonitor-"))
+        session.stop()
+        session = builder.config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="docmonitor-")).getOrCreate()
+    session.sparkContext.setLogLevel("ERROR")
     return session
 
 
