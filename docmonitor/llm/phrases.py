@@ -8,8 +8,9 @@ Groups are counted in each chunk, the chunks' counts are summed in a shuffle, an
 frequent goes back to its chunks as bitmaps, by which the next round semi-joins the relation
 before it extends it.
 
-A word's number across chunks is a hash of its language and itself; a seed under which two
-words share a number is not used, so groups of numbers are groups of words.
+A word is known across chunks by 128 bits of hash of its language and itself, a frequent one by
+64 of them; a seed under which two frequent words share these is not used, so groups of numbers
+are groups of words.
 """
 
 from __future__ import annotations
@@ -31,60 +32,58 @@ LONGEST = 3
 LEAST = 10
 PART = 50  # percent of a phrase's occurrences within a longer one that make it a part of that
 PER_LANGUAGE = 2000
-CHUNK_WORDS = 4_000_000
+CHUNK_WORDS = 2_000_000
 SLICE_BYTES = 1 << 20
 BITMAP_BYTES = 4096  # of Spark's bitmap functions
 BROADCAST_BITMAPS = 1 << 14  # 64 MB; beyond, the chunks are shuffled
+BROADCAST_WORDS = 1 << 19  # of 16 bytes; beyond, the chunks' words are shuffled
 NO_LANGUAGE = "und"
 GAP = b"."
 FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ,;:!?\n\x0b\x0c\r\t", b"abcdefghijklmnopqrstuvwxyz" + GAP * 9 + b" ")
 
 
 class Numbers(dict):
-    """Numbers of one language's words in a chunk, given as they come; 0 is the gap."""
-
-    def __init__(self, lang: str, known: list):
-        super().__init__({GAP: 0})
-        self.lang, self.known = lang, known
+    """Numbers of a chunk's words, given as they come; 0 is the gap."""
 
     def __missing__(self, word: bytes) -> int:
-        self.known.append((self.lang, word))
-        self[word] = number = len(self.known) - 1
+        self[word] = number = len(self)
         return number
 
 
 class Chunk:
-    """Occurrences of some whole pieces, in order."""
+    """Occurrences of some whole pieces of one language, in order."""
 
     def __init__(self):
-        self.known, self.numbers, self.codes, self.size = [("", GAP)], {}, [], 0
+        self.numbers, self.codes = Numbers({GAP: 0}), []
 
-    def add(self, lang: str, words: bytes) -> None:
-        """A slice of a folded text, which ends where a piece ends."""
-        if lang not in self.numbers:
-            self.numbers[lang] = Numbers(lang, self.known)
+    def add(self, words: bytes) -> int:
+        """A slice of a folded text, which ends where a piece ends; its size."""
         found = words.replace(GAP, b" . ").split()
-        self.codes.append(np.fromiter(map(self.numbers[lang].__getitem__, found), np.int32, len(found)))
+        self.codes.append(np.fromiter(map(self.numbers.__getitem__, found), np.int32, len(found)))
         self.codes.append(np.zeros(1, np.int32))
-        self.size += len(found) + 1
+        return len(found) + 1
 
-    def table(self, number: int, seed: int, bits: int) -> pa.RecordBatch:
-        """The relation (kind 0) and its words with their counts (kind 1)."""
+    def row(self, number: int, lang: str) -> pa.RecordBatch:
         codes = np.concatenate(self.codes)
-        counts = np.bincount(codes, minlength=len(self.known))[1:]
-        seeds = {lang: xxhash.xxh3_64_intdigest(lang.encode("utf-8", "surrogatepass"), seed) for lang in self.numbers}
-        ids = np.fromiter((xxhash.xxh3_64_intdigest(w, seeds[lang]) for lang, w in self.known[1:]), np.uint64, len(counts))
-        ids = (ids & np.uint64((1 << bits) - 1)).view(np.int64)
-        k = len(counts)
+        counts = np.bincount(codes, minlength=len(self.numbers)).astype(np.int32)
+        planes = codes.view(np.uint8).reshape(-1, 4).T  # the high bytes together, as most are zero
         return pa.RecordBatch.from_arrays([
-            pa.array([0] + [1] * k, pa.int32()), pa.array([number] * (k + 1), pa.int64()),
-            pa.array([codes.tobytes()] + [None] * k, pa.binary()), pa.array([ids.tobytes()] + [None] * k, pa.binary()),
-            pa.concat_arrays([pa.nulls(1, pa.int64()), pa.array(np.arange(1, k + 1))]),
-            pa.concat_arrays([pa.nulls(1, pa.int64()), pa.array(ids)]),
-            pa.array([None] + [lang for lang, _ in self.known[1:]], pa.string()),
-            pa.array([None] + [w for _, w in self.known[1:]], pa.binary()),
-            pa.concat_arrays([pa.nulls(1, pa.int64()), pa.array(counts.astype(np.int64))]),
-        ], names=["kind", "chunk", "codes", "ids", "place", "w1", "lang", "word", "n"])
+            pa.array([number]), pa.array([lang]), pa.array([planes.tobytes()]), pa.array([b" ".join(self.numbers)]),
+            pa.array([counts.tobytes()]), pa.array([int(counts[1:].sum())], pa.int64())], names=list(CHUNK))
+
+
+CHUNK = {"chunk": "long", "lang": "string", "codes": "binary", "words": "binary", "counts": "binary", "n": "long"}
+
+
+def _codes(planes: bytes) -> np.ndarray:
+    return np.frombuffer(planes, np.uint8).reshape(4, -1).T.copy().view(np.int32).ravel()
+
+
+def word_numbers(lang: str, words: bytes, seed: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of a chunk's words everywhere (of the gap, too), and 64 more bits of hash."""
+    own = xxhash.xxh3_64_intdigest(lang.encode("utf-8", "surrogatepass"), seed)
+    raw = np.frombuffer(b"".join([xxhash.xxh3_128_digest(w, own) for w in words.split(b" ")]), np.uint64).reshape(-1, 2)
+    return (raw[:, 0] & np.uint64((1 << bits) - 1)).view(np.int64), raw[:, 1].copy().view(np.int64)
 
 
 def slices(text: bytes) -> Iterator[bytes]:
@@ -97,24 +96,28 @@ def slices(text: bytes) -> Iterator[bytes]:
         at = end
 
 
-def occurrences(docs: DataFrame, seed: int = 0, bits: int = 64, chunk_words: int = CHUNK_WORDS) -> DataFrame:
-    """The written relation of all texts, in chunks, and the chunks' words with counts."""
+def occurrences(docs: DataFrame, chunk_words: int = CHUNK_WORDS) -> DataFrame:
+    """The written relation of all texts, in chunks of a language (``CHUNK``)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first, made, chunk = TaskContext.get().partitionId() << 32, 0, Chunk()
+        number, chunks, size = TaskContext.get().partitionId() << 32, {}, 0
         for lang, text in rows_of_all(batches):
             for part in slices(text.translate(FOLD)):
-                chunk.add(lang, part)
-                if chunk.size >= chunk_words:
-                    yield chunk.table(first + made, seed, bits)
-                    made, chunk = made + 1, Chunk()
-        if chunk.size:
-            yield chunk.table(first + made, seed, bits)
+                if lang not in chunks:
+                    chunks[lang] = Chunk()
+                size += chunks[lang].add(part)
+                if size >= chunk_words:
+                    for own in sorted(chunks):
+                        yield chunks[own].row(number, own)
+                        number += 1
+                    chunks, size = {}, 0
+        for own in sorted(chunks):
+            yield chunks[own].row(number, own)
+            number += 1
 
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit(NO_LANGUAGE)).alias("lang"),
                         text_or_empty().cast("binary").alias("text"))
-    return materialise(texts.mapInArrow(run, "kind int, chunk long, codes binary, ids binary, place long, w1 long, "
-                                             "lang string, word binary, n long"), "occurrences")
+    return materialise(texts.mapInArrow(run, ", ".join(f"{c} {t}" for c, t in CHUNK.items())), "occurrences")
 
 
 def _relation(codes: np.ndarray, frequent: dict[int, np.ndarray], level: int) -> tuple[np.ndarray, np.ndarray]:
@@ -129,100 +132,124 @@ def _relation(codes: np.ndarray, frequent: dict[int, np.ndarray], level: int) ->
         adjacent = np.flatnonzero(np.diff(starts) == 1)
         key = groups[adjacent] * (int(groups.max(initial=0)) + 1) + groups[adjacent + 1]
         starts = starts[adjacent]
-        _, at, groups, counts = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
-        first = starts[at]
         if k < level:
+            _, groups = np.unique(key, return_inverse=True)
             kept = frequent[k][groups]
             starts, groups = starts[kept], groups[kept]
+        else:
+            _, at, counts = np.unique(key, return_index=True, return_counts=True)
+            first = starts[at]
     return first, counts
 
 
-def _flags(marks: list, level: int) -> np.ndarray:
-    """A level's bitmaps as flags by place."""
+def _flags(marks: list, level: int, least: int) -> np.ndarray:
+    """A level's bitmaps as flags by place (from 1), at least so many."""
     found = {m["bucket"]: m["bits"] for m in marks if m["level"] == level}
-    flags = np.zeros((max(found, default=0) + 1) * BITMAP_BYTES * 8, bool)
-    for bucket, bits in found.items():  # buckets count from 1, and so do places
+    flags = np.zeros(max(max(found, default=0) * BITMAP_BYTES * 8 + 1, least), bool)
+    for bucket, bits in found.items():  # buckets count from 1, too
         at = (bucket - 1) * BITMAP_BYTES * 8 + 1
         flags[at:at + BITMAP_BYTES * 8] = np.unpackbits(np.frombuffer(bits, np.uint8), bitorder="little")
     return flags
 
 
-def _counted(chunks: DataFrame, bitmaps: DataFrame, level: int) -> DataFrame:
+def _count_words(chunks: DataFrame, seed: int, bits: int) -> DataFrame:
+    """``chunk, place, w1, more, n``: each chunk's words, by 64 and 64 more bits."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk, lang, words, counts in rows_of_all(batches):
+            ids, more = word_numbers(lang, words, seed, bits)
+            n = np.frombuffer(counts, np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (
+                np.full(len(n) - 1, chunk), np.arange(1, len(n)), ids[1:], more[1:], n[1:].astype(np.int64))],
+                names=["chunk", "place", "w1", "more", "n"])
+
+    return chunks.select("chunk", "lang", "words", "counts").mapInArrow(run, "chunk long, place long, w1 long, more long, n long")
+
+
+def _count_groups(chunks: DataFrame, bitmaps: DataFrame, level: int, seed: int, bits: int) -> DataFrame:
     """``chunk, place, w1.., n``: what each chunk counts of its groups of ``level`` words."""
-    names = [f"w{i}" for i in range(1, level + 1)]
+    names = _words(1, level + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk, codes, ids, marks in rows_of_all(batches):
-            codes, ids = np.frombuffer(codes, np.int32), np.frombuffer(ids, np.int64)
-            flags = {}
-            for k in range(1, level):
-                flags[k] = _flags(marks, k)
-                least = len(codes) + 2  # no more places than that
-                flags[k] = np.pad(flags[k], (0, max(0, least - len(flags[k]))))
-                flags[k] = flags[k] if k == 1 else flags[k][1:]  # groups count from 0, words from 1
+        for chunk, lang, planes, words, marks in rows_of_all(batches):
+            codes, (ids, _) = _codes(planes), word_numbers(lang, words, seed, bits)
+            flags = {k: _flags(marks, k, len(codes) + 2) for k in range(1, level)}
+            flags = {k: f if k == 1 else f[1:] for k, f in flags.items()}  # a word's place is its code, a group's one more
             first, n = _relation(codes, flags, level)
             for at in range(0, len(first), 1 << 18):
                 part = first[at:at + (1 << 18)]
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.full(len(part), chunk)), pa.array(np.arange(at + 1, at + 1 + len(part))),
-                    *(pa.array(ids[codes[part + i] - 1]) for i in range(level)), pa.array(n[at:at + len(part)].astype(np.int64)),
+                    *(pa.array(ids[codes[part + i]]) for i in range(level)), pa.array(n[at:at + len(part)].astype(np.int64)),
                 ], names=["chunk", "place", *names, "n"])
 
     marks = bitmaps.groupBy("chunk").agg(F.collect_list(F.struct("level", "bucket", "bits")).alias("marks"))  # of one chunk: bounded
     if bitmaps.count() <= BROADCAST_BITMAPS:
         marks = F.broadcast(marks)
     ddl = "chunk long, place long, " + ", ".join(f"{w} long" for w in names) + ", n long"
-    return chunks.join(marks, "chunk").select("chunk", "codes", "ids", "marks").mapInArrow(run, ddl)
+    return chunks.join(marks, "chunk").select("chunk", "lang", "codes", "words", "marks").mapInArrow(run, ddl)
 
 
-def _bitmaps(found: DataFrame, level: int) -> DataFrame:
-    """Which places of a chunk's list of groups are frequent."""
-    return found.groupBy("chunk", F.bitmap_bucket_number("place").alias("bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits")).withColumn("level", F.lit(level))
+def _frequent(counted: DataFrame, keys: list[str], least: int, name: str) -> tuple[DataFrame, DataFrame]:
+    """What is frequent: all its places in the chunks, as bitmaps, and one row a group with its count ``a``.
+
+    One shuffle gives both: a group's first chunk keeps its key beside its place.
+    """
+    own = Window.partitionBy(*keys)
+    found = counted.withColumns({"a": F.sum("n").over(own), "no": F.row_number().over(own.orderBy("chunk"))}).where(F.col("a") >= least)
+    once = lambda c: F.when(F.col("no") == 1, F.col(c)).alias(c)
+    found = materialise(found.select("chunk", "place", *map(once, (*keys, "a"))), name)
+    # one chunk's places together first: every task would send a bitmap for every chunk
+    placed = found.select("chunk", "place").repartition("chunk")
+    bitmaps = placed.groupBy("chunk", F.bitmap_bucket_number("place").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits")).withColumn("level", F.lit(len([k for k in keys if k != "more"])))
+    return materialise(bitmaps, f"{name}-bitmaps"), found.where("a IS NOT NULL").select(*keys, "a", "chunk")
 
 
 def _words(i: int, j: int) -> list[str]:
     return [f"w{k}" for k in range(i, j)]
 
 
-def frequent_groups(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, bits: int = 64,
-                    chunk_words: int = CHUNK_WORDS) -> tuple[DataFrame, dict[int, DataFrame], DataFrame]:
-    """Words (``w1, lang, word``), frequent groups of each length (``w1.., a``), and the
-    languages' words in all (``lang, n``).
+def frequent_groups(chunks: DataFrame, longest: int = LONGEST, least: int = LEAST,
+                    bits: int = 64) -> tuple[dict[int, DataFrame], int]:
+    """Frequent groups of each length (``w1.., a, chunk``: one they are in), and the seed of the words' numbers.
 
-    A word pair of a third of all texts reaches the shuffle once a chunk.  ``bits`` is the
-    width of words' numbers (fewer for tests).
+    A word pair of a third of all texts reaches the shuffle once a chunk.  Words are
+    counted by 128 bits of hash; after that the first ``bits`` (fewer in tests) stand for
+    the frequent ones, if no two of them share these.
     """
     seed = 0
     while True:
-        seen = occurrences(docs, seed, bits, chunk_words)
-        own = Window.partitionBy("w1")
-        name = F.struct("lang", "word")
-        words = seen.where("kind = 1").withColumns({
-            "a": F.sum("n").over(own), "clash": F.min(name).over(own) != F.max(name).over(own)})
-        words = materialise(words.where((F.col("a") >= least) | F.col("clash")).select(
-            "chunk", "place", "w1", "lang", "word", "a", "clash"), "words")
-        if words.where("clash").isEmpty():
+        bitmaps, named = _frequent(_count_words(chunks, seed, bits), ["w1", "more"], least, "words")
+        if named.groupBy("w1").count().where("count > 1").isEmpty():
             break
         seed += 1
-    totals = seen.where("kind = 1").groupBy("lang").agg(F.sum("n").alias("n"))
-    chunks = seen.where("kind = 0")
-    named = materialise(words.groupBy("w1").agg(F.first("lang").alias("lang"), F.first("word").cast("string").alias("word"),
-                                                F.first("a").alias("a")), "words-1")
-    groups = {1: named.select("w1", "a")}
-    bitmaps = materialise(_bitmaps(words, 1), "bitmaps")
+    groups = {1: named}
     for level in range(2, longest + 1):
-        own = Window.partitionBy(*_words(1, level + 1))
-        found = _counted(chunks, bitmaps, level).withColumn("a", F.sum("n").over(own)).where(F.col("a") >= least)
-        found = materialise(found.drop("n"), f"groups-{level}")
-        groups[level] = materialise(found.groupBy(*_words(1, level + 1)).agg(F.first("a").alias("a")), f"counts-{level}")
-        if level < longest:
-            bitmaps = bitmaps.unionByName(materialise(_bitmaps(found, level), "bitmaps"))
-    return named.drop("a"), groups, totals
+        counted = _count_groups(chunks, bitmaps, level, seed, bits)
+        more, groups[level] = _frequent(counted, _words(1, level + 1), least, f"groups-{level}")
+        bitmaps = bitmaps.unionByName(more)
+    return groups, seed
+
+
+def _names(chunks: DataFrame, wanted: DataFrame, seed: int, bits: int) -> DataFrame:
+    """``w1, word`` of wanted frequent words; the other 64 bits tell a rare word with the same number from them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for lang, words in rows_of_all(batches):
+            ids, more = word_numbers(lang, words, seed, bits)
+            yield pa.RecordBatch.from_arrays([pa.array(ids[1:]), pa.array(more[1:]), pa.array(words.split(b" ")[1:], pa.binary())],
+                                             names=["w1", "more", "word"])
+
+    known = chunks.select("lang", "words").mapInArrow(run, "w1 long, more long, word binary")
+    if wanted.count() <= BROADCAST_WORDS:
+        wanted = F.broadcast(wanted)
+    return materialise(known.join(wanted, ["w1", "more"], "left_semi").groupBy("w1").agg(
+        F.first("word").cast("string").alias("word")), "names")
 
 
 def _scored(groups: dict[int, DataFrame], m: int) -> DataFrame:
-    """Candidates of ``m`` words with ``a, score, l, r`` of the cut with the lowest score."""
+    """Candidates of ``m`` words with ``a``, a chunk, and the cut with the lowest score (``score, k, l, r``)."""
     rows = groups[m]
     for k in range(1, m):
         left = groups[k].select(*_words(1, k + 1), F.col("a").alias(f"l{k}"))
@@ -232,7 +259,7 @@ def _scored(groups: dict[int, DataFrame], m: int) -> DataFrame:
     cuts = [F.struct(F.expr(exact.format(k=k)).alias("score"), F.lit(k).alias("k"), F.col(f"l{k}").alias("l"), F.col(f"r{k}").alias("r"))
             for k in range(1, m)]
     cut = F.least(*cuts) if len(cuts) > 1 else cuts[0]
-    return rows.select(*_words(1, m + 1), "a", cut.alias("cut"))
+    return rows.select(*_words(1, m + 1), "a", "chunk", cut.alias("cut"))
 
 
 def _without_parts(rows: DataFrame, groups: dict[int, DataFrame], m: int, part: int) -> DataFrame:
@@ -258,19 +285,24 @@ def collocations(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, pa
     give nothing; repeated rows all count.  Other columns are not read.  A very long text is
     read in slices that end where a piece ends; one piece is held whole.
     """
-    words, groups, totals = frequent_groups(docs, longest, least, bits, chunk_words)
-    out = []
-    for m in range(2, longest + 1):
-        rows = _without_parts(_scored(groups, m), groups, m, part)
-        for i in range(1, m + 1):
-            rows = rows.join(words.select(F.col("w1").alias(f"w{i}"), F.col("word").alias(f"word{i}"),
-                                          F.col("lang").alias(f"lang{i}")), f"w{i}")
-        out.append(rows.select(F.col("lang1").alias("lang"), F.concat_ws(" ", *(f"word{i}" for i in range(1, m + 1))).alias("phrase"),
-                               "a", "cut.l", "cut.r", "cut.score"))
-    rows = reduce(DataFrame.unionByName, out)
+    chunks = occurrences(docs, chunk_words)
+    totals = chunks.groupBy("lang").agg(F.sum("n").alias("n"))
+    groups, seed = frequent_groups(chunks, longest, least, bits)
+    words = _words(1, longest + 1)
+    scored = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), [
+        _without_parts(_scored(groups, m), groups, m, part) for m in range(2, longest + 1)])
+    by_score = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"))
+    near = scored.join(chunks.select("chunk", "lang"), "chunk").select("lang", *words, "a", "cut.*").withColumn(
+        "rank", F.rank().over(by_score)).where(F.col("rank") <= per_language)  # ties at the end stay for now
+    near = materialise(near.drop("rank", "k"), "phrases")
+    used = reduce(DataFrame.unionByName, [near.select(F.col(w).alias("w1")) for w in words])
+    names = _names(chunks, materialise(groups[1].join(used, "w1", "left_semi").select("w1", "more"), "used"), seed, bits)
+    for w in words:
+        near = near.join(names.select(F.col("w1").alias(w), F.col("word").alias(f"word_{w}")), w, "left")
+    near = near.withColumn("phrase", F.concat_ws(" ", *(f"word_{w}" for w in words)))
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    best = rows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= per_language)
-    return best.join(totals, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
+    top = near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= per_language)
+    return top.join(totals, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
 
 
 def op11_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
