@@ -145,7 +145,7 @@ class WordEncoder:
     def _ids_of(self, words: list[str], before: str) -> dict[str, bytes]:
         """Ids of words."""
         bare, stems, tails = self._without_tails(words, self.ids)
-        got = {w[len(before):]: ids for w, ids in self._ids([before + w for w in bare]).items()}
+        got = {w[len(before):]: ids for w, ids in self._ids([before + w for w in bare], len(before)).items()}
         for w, stem in tails.items():
             got[w] = (got.get(stem) or stems[stem]) + self.tails[w[-1]]
         return got
@@ -158,10 +158,11 @@ class WordEncoder:
         stems, bare = cache.find(set(tails.values()).union(w for w in words if w not in tails))
         return bare, stems, tails
 
-    def _ids(self, words: list[str]) -> dict[str, bytes]:
-        """Words without white space or the mark are encoded in rows, a mark after each:
-        the mark is a pre-token of its own, whose id no such word yields."""
-        plain = [w for w in words if w[1:] and not MARKED.search(w, 1) and w[0] != "\x01"]
+    def _ids(self, words: list[str], at: int = 0) -> dict[str, bytes]:
+        """Words without white space or the mark (but for the ``at`` characters put before
+        them) are encoded in rows, a mark after each: the mark is a pre-token of its own, whose id no
+        such word yields."""
+        plain = [w for w in words if w[1:] and not MARKED.search(w, at)]
         rows = [plain[i:i + ROW_WORDS] for i in range(0, len(plain), ROW_WORDS)]
         encoded = self.tokenizer.encode_batch_fast(
             ["".join([w + self.mark for w in row]) for row in rows], add_special_tokens=False) if rows else []

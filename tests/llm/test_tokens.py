@@ -27,6 +27,25 @@ def test_words_give_the_ids_of_whole_texts(name, mixed_rows):
     assert [list(zip(a.tolist(), b.tolist())) for a, b in spans] == [e.offsets for e in want]
 
 
+ODD_STARTS = ["\n.x a", "ab a", "\n<|endoftext|>y a", "\t<|endoftext|>", "\n", "\nq", "<|endoftext|>y", "cd e", "\r\n.z b", "\x01n a", "\x0bk a"]
+
+
+@pytest.mark.parametrize("name", FILES)
+@pytest.mark.parametrize("seed", range(8))
+def test_first_words_may_be_white_space(name, seed):
+    """In one batch and in any order, so that no word gets its neighbour's ids."""
+    plain, r = Tokenizer.from_file(tokenizer_path(name)), random.Random(seed)
+    texts = ODD_STARTS * 2 + ["".join(r.choice(["\n", " ", "\t", "a", "b.", "<|endoftext|>", ",", "\r", "\x01", "é", "\u0130.", "\x85"])
+                                      for _ in range(r.randint(0, 7))) for _ in range(2500)]
+    r.shuffle(texts)
+    want = plain.encode_batch(texts, add_special_tokens=False)
+    for start in range(0, len(texts), 50 if seed % 2 else len(texts)):
+        code = tokens.encoder(tokenizer_path(name)) if seed % 4 < 2 else tokens.WordEncoder(tokenizer_path(name))
+        part, e = texts[start:start + 50] if seed % 2 else texts, want[start:start + 50] if seed % 2 else want
+        assert [np.frombuffer(b, "<u4").tolist() for b in code.encode_many(part)] == [x.ids for x in e]
+        assert [list(zip(a.tolist(), b.tolist())) for a, b in code.spans_many(part)] == [x.offsets for x in e]
+
+
 @pytest.mark.parametrize("name", FILES)
 def test_stops_behind_every_letter(name):
     """Letters that the normalizer turns into a letter and a mark keep the stop with the mark."""
