@@ -135,7 +135,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int,
     Null numbers come first, equal ones in order of their texts; a null text is empty;
     other columns are left out.  One range shuffle brings the order, its partitions hold
     whole runs of it, and a task cuts a new file after ``file_tokens`` ids (a document is
-    never cut).  A file's name is new in each attempt, and only those of the attempts
+    never cut).  An empty table gives an empty manifest.  A file's name is new in each attempt, and only those of the attempts
     that count are in the manifest, which is written as a table: a lost executor costs a
     repeated task and an unused file.
     """
@@ -150,8 +150,9 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int,
 
         def flush() -> pa.RecordBatch:
             nonlocal seq, start, held, held_docs, size
-            path = f"{base}/{part:06d}-{seq:05d}-{uuid.uuid4().hex}.dac"
-            with fs.open_output_stream(path) as out:
+            name = f"{part:06d}-{seq:05d}-{uuid.uuid4().hex}.dac"
+            path = f"{encode}/{name}"  # with its scheme: readers open the same store
+            with fs.open_output_stream(f"{base}/{name}") as out:
                 write_file(out, held_docs, np.frombuffer(b"".join(held), "<u4"))
             row = {"part": part, "seq": seq, "path": path, "part_start": start, "n_docs": len(held_docs), "n_tokens": size}
             seq, start, held, held_docs, size = seq + 1, start + size, [], [], 0

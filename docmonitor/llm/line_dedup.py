@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docmonitor.llm.common import read_table
+from docmonitor.llm.common import read_table, row_key, under_numbers
 from docmonitor.session import materialise
 
 LEAST_SITES = 4
@@ -26,7 +26,7 @@ def line_rows(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     without a source share one site.
     """
     rows = docs.select(
-        F.xxhash64("doc_id", "source", "text").alias("row_key"), F.col("doc_id").cast("long").alias("doc_id"),
+        row_key().alias("row_key"), F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(F.col("source").cast("string"), F.lit(NO_SITE)).alias("site"), F.posexplode(_lines(F.col("text"))).alias("pos", "line"))
     line = F.regexp_replace("line", r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", "")
     rows = rows.withColumn("line", line).where(F.size(F.split("line", r"[\x20\x09-\x0D]+")) >= least_words)
@@ -72,15 +72,16 @@ def dedupe_lines(docs: DataFrame, least_sites: int = LEAST_SITES, least_words: i
         & (F.col("first.pos") == F.col("pos"))))
     removed = hits.groupBy(F.col("row_key").alias("_key")).agg(F.collect_set("pos").alias("_removed"))  # lines of one text
     own = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
-    keyed = docs.select(*own, F.xxhash64("doc_id", "source", "text").alias("_row_key"))
+    docs, inner = under_numbers(docs.select(*(F.col(f"`{c}`") for c in own)), ("doc_id", "source", "text"))
+    keyed = docs.withColumn("_row_key", row_key())
     joined = keyed.join(removed, keyed["_row_key"] == removed["_key"], "left")
     every = _lines(F.col("text"))
     left = F.array_except(F.sequence(F.lit(0), F.size(every) - 1), F.col("_removed"))
     text = F.when(F.col("_removed").isNull(), F.col("text")).otherwise(
         F.array_join(F.transform(left, lambda i: F.get(every, i)), "\n"))
     return joined.select(
-        *(text.alias(c) if c == "text" else F.col(c) for c in own),
-        F.size(every).cast("long").alias("n_lines"), F.coalesce(F.size("_removed"), F.lit(0)).cast("long").alias("n_removed"))
+        *(text.alias(c) if c == "text" else F.col(c) for c in inner),
+        F.size(every).cast("long").alias("n_lines"), F.coalesce(F.size("_removed"), F.lit(0)).cast("long").alias("n_removed")).toDF(*own, "n_lines", "n_removed")
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from docmonitor.llm.common import read_table
+from docmonitor.llm.common import read_table, row_key
 from docmonitor.session import materialise
 
 WEIGHTS = (3, 1, 2)
@@ -56,10 +56,10 @@ def source_targets(sizes: DataFrame, share: float = SHARE, most: int = MOST_COPI
         "_limit", "_total", "_taken", "_weights", "_level")
 
 
-def _settle(items: Column, level: int) -> Column:
-    """Lets a chunk's documents meet in turn: an array of ``(id, size, p, copies)`` in, with
-    ``p`` open or whole, out ``done`` (whole) and ``open`` (at most one)."""
-    entry = "struct<_id:bigint,size:bigint,p:double,copies:bigint>"
+def _settle(items: Column, level: int, key: str) -> Column:
+    """Lets a chunk's documents meet in turn: an array of ``(id, size, p, copies)`` in, with ids
+    of type ``key`` and ``p`` open or whole, out ``done`` (whole) and ``open`` (at most one)."""
+    entry = f"struct<_id:{key},size:bigint,p:double,copies:bigint>"
     start = F.struct(F.array().cast(f"array<{entry}>").alias("done"), F.lit(None).cast(entry).alias("open"))
     eps = F.lit(1e-12)
 
@@ -90,18 +90,18 @@ def _settle(items: Column, level: int) -> Column:
 def copies_of(sized: DataFrame, targets: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """Copies to take of each document: ``row_key, source, size`` and ``targets`` in.
 
-    ``row_key`` (a long) tells rows apart and stays the same in reruns.  The result has
+    ``row_key`` (of any type that can be sorted) tells rows apart and stays the same in reruns.  The result has
     ``row_key, source, size, copies``.  Documents of size 0 and of sources with target 0
     get none.
     """
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     plan = targets.select("source", ratio.alias("_ratio"), "n_rows")
     rows = sized.join(plan, sized["source"].eqNullSafe(plan["source"])).drop(plan["source"])
-    floor = F.floor(F.col("_ratio") + 1e-12)
+    floor = F.when(F.col("size") > 0, F.floor(F.col("_ratio") + 1e-12)).otherwise(0)
     level = rows.select(
         F.col("row_key").alias("_id"), "source", "size", "n_rows", floor.cast("long").alias("copies"),
         F.when(F.col("size") > 0, F.greatest(F.lit(0.0), F.col("_ratio") - floor)).otherwise(0.0).alias("p"))
-    spark = sized.sparkSession
+    key = sized.schema["row_key"].dataType.simpleString()
     largest = targets.agg(F.max("n_rows")).first()[0] or 0
     done, depth = [], 0
     while True:
@@ -112,7 +112,7 @@ def copies_of(sized: DataFrame, targets: DataFrame, chunk: int = CHUNK) -> DataF
         chunks = (level.withColumns({"_kind": kind, "_part": part}).groupBy("source", "_kind", "_part")
                   .agg(F.first("n_rows").alias("n_rows"),
                        F.sort_array(F.collect_list(F.struct("_id", "size", "p", "copies"))).alias("items")))
-        met = materialise(chunks.select("source", "n_rows", _settle(F.col("items"), depth).alias("met")), "mix")
+        met = materialise(chunks.select("source", "n_rows", _settle(F.col("items"), depth, key).alias("met")), "mix")
         done.append(met.select("source", F.explode("met.done").alias("d")).select("source", "d.*"))
         level = met.where("met.open IS NOT NULL").select("source", "n_rows", "met.open.*")
         depth += 1
@@ -134,10 +134,10 @@ def ranked_weights(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> Da
 
 
 def size_documents(docs: DataFrame) -> DataFrame:
-    """``doc_id, source, size`` and a ``row_key`` from all three and the text's hash."""
+    """``doc_id, source, size`` and a ``row_key`` from number, source and text."""
     sized = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
                         F.coalesce(word_count(F.col("text")), F.lit(0)).alias("size"),
-                        F.xxhash64("doc_id", "source", "text").alias("row_key"))
+                        row_key().alias("row_key"))
     return sized
 
 

@@ -22,10 +22,11 @@ from docmonitor.session import materialise
 K = 10
 SAMPLE = 20_000
 MOST_CENTROIDS = 256
-LEAST_SEEN = 16_000
+LEAST_SEEN = 40 * K
 SEEN_SHARE = 0.3
 CHUNK = 8_192
 QUERY_BLOCK = 64
+CHUNK_QUERIES = 16_384
 
 
 def valid_vectors(vectors: DataFrame) -> DataFrame:
@@ -101,7 +102,8 @@ def search(vectors: DataFrame, is_query, k: int = K, least_seen: int = LEAST_SEE
     vector is indexed.  A query sees at least ``least_seen`` different vectors, and at least
     ``share`` of all: without structure in the vectors, fewer can't hold nine of the ten
     nearest.  The cells of a first half are cut into chunks, so full cells meet their queries
-    in many tasks, and each chunk returns ``k + 1`` candidates a query.  Repeated rows count
+    in many tasks, the queries in blocks, so no task holds more than a block of queries and a
+    chunk of vectors; each chunk returns ``k + 1`` candidates a query.  Repeated rows count
     once; a number with several vectors has each of them.  Where nothing is valid, the
     result is empty.
     """
@@ -114,7 +116,7 @@ def search(vectors: DataFrame, is_query, k: int = K, least_seen: int = LEAST_SEE
         return spark.createDataFrame([], out_schema)
     fitted = np.array([r["v"] for r in distinct.orderBy(F.xxhash64("vid"), "vid").limit(sample).select("v").collect()])
     half = max(1, fitted.shape[1] // 2)
-    size = max(1, min(MOST_CENTROIDS, len(fitted) // 4, int(np.sqrt(total))))
+    size = max(1, min(MOST_CENTROIDS, len(fitted) // 4))
     parts = fitted[:, :half], fitted[:, half:]
     centroids = spark.sparkContext.broadcast([kmeans(p, size if p.shape[1] else 1) for p in parts])  # 256 rows a half
 
@@ -154,14 +156,19 @@ def search(vectors: DataFrame, is_query, k: int = K, least_seen: int = LEAST_SEE
                     out += [(q, v, a, c, bs) for a, bs in cells.items() for c in range(n[a])]
                 yield pd.DataFrame(out, columns=["qid", "v", "c1", "chunk", "c2s"])
 
+    n_queries = queries.count()
+    blocks = max(1, -(-n_queries // CHUNK_QUERIES))
+
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         n = chunks()
         for pdf in batches:
             mixed = pdf["vid"].to_numpy().astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)
             yield pdf.assign(chunk=mixed.astype(np.int64) % n[pdf["c1"]])
 
-    probes = queries.repartition(max(1, -(-queries.count() // QUERY_BLOCK))).mapInPandas(probe, "qid long, v array<double>, c1 int, chunk int, c2s array<int>")
+    probes = queries.repartition(max(1, -(-n_queries // QUERY_BLOCK))).mapInPandas(probe, "qid long, v array<double>, c1 int, chunk int, c2s array<int>")
+    probes = probes.withColumn("block", F.pmod(F.xxhash64("qid"), F.lit(blocks)).cast("int"))
     members = placed.select("vid", "v", "c1", "c2").mapInPandas(cut, "vid long, v array<double>, c1 int, c2 int, chunk int")
+    members = members.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
 
     def rank(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         """Exact distances of each query to the members of its cells."""
@@ -175,7 +182,7 @@ def search(vectors: DataFrame, is_query, k: int = K, least_seen: int = LEAST_SEE
                 parts.append((np.full(len(best), q), ids[at][best], d[best]))
         return pd.DataFrame({name: np.concatenate(c) for name, c in zip(("qid", "vid", "score"), zip(*parts))})
 
-    keys = ["c1", "chunk"]
+    keys = ["c1", "chunk", "block"]
     found = probes.groupBy(*keys).cogroup(members.groupBy(*keys)).applyInPandas(rank, "qid long, vid long, score double")
     best = found.withColumn("r", F.row_number().over(Window.partitionBy("qid").orderBy("score", "vid"))).where(F.col("r") <= k + 1).drop("r")
     near = materialise(best.join(distinct.select("vid", "ids"), "vid").select("qid", "score", F.explode("ids").alias("vec_id")), "near")

@@ -18,7 +18,7 @@ from docmonitor.session import materialise
 MAX_TOKENS = 2048
 GROUP_TOKENS = 1 << 24
 GROUP_PIECES = 200_000
-PIECES = "doc_id long, piece int, start long, length int, ids_crc32 long, text_key long"
+PIECES = "doc_id long, piece int, start long, length int, ids_crc32 long, text_key long, place long"
 
 
 class OpenBins:
@@ -84,19 +84,20 @@ def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, max_tokens: int =
     """
 
     def cut(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code, end = encoder(tokenizer), int(end_id).to_bytes(4, "little")
+        code, end, place = encoder(tokenizer), int(end_id).to_bytes(4, "little"), 0
         for batch in batches(rows_of_all(rows)):
             out = []
             for (doc_id, key, _), ids in zip(batch, code.encode_many([text for *_, text in batch])):
                 ids += end
                 n = len(ids) // 4
                 cuts = [0, *range((n - 1) % max_tokens + 1, n + 1, max_tokens)]
-                out += [(doc_id, piece, a, b - a, zlib.crc32(ids[4 * a: 4 * b]), key)
+                out += [(doc_id, piece, a, b - a, zlib.crc32(ids[4 * a: 4 * b]), key, place)
                         for piece, (a, b) in enumerate(zip(cuts, cuts[1:]))]
+                place += 1
             yield pa.RecordBatch.from_arrays(
                 [pa.array(column, kind) for column, kind in
-                 zip(zip(*out), (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int64()))],
-                names=["doc_id", "piece", "start", "length", "ids_crc32", "text_key"])
+                 zip(zip(*out), (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()))],
+                names=["doc_id", "piece", "start", "length", "ids_crc32", "text_key", "place"])
 
     texts = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_key"), text_or_empty().alias("text"))
     return texts.mapInArrow(cut, PIECES)
@@ -108,7 +109,7 @@ def pack(pieces: DataFrame, max_tokens: int = MAX_TOKENS, group_tokens: int = GR
 
     Pieces are spread over groups by hash, so that a group has about ``group_tokens``
     tokens or ``group_pieces`` pieces, whatever the input's size, and every group sees
-    the whole mix of lengths.  A group wastes about one sequence of some thousands over a
+    the whole mix of lengths; ``place`` (of a row in its task) deals out rows repeated in full.  A group wastes about one sequence of some thousands over a
     packing of everything in one place.  Rows that are equal in all that is hashed stay
     packed apart, as each is a row of its own.  An empty table gives an empty result.
     """
@@ -117,13 +118,13 @@ def pack(pieces: DataFrame, max_tokens: int = MAX_TOKENS, group_tokens: int = GR
     groups = max(1, -(-(tokens or 0) // group_tokens), -(-rows // group_pieces))
 
     def fill(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["length", "doc_id", "text_key", "piece"], ascending=[False, True, True, True], kind="stable")
+        pdf = pdf.sort_values(["length", "doc_id", "text_key", "piece", "place"], ascending=[False, True, True, True, True], kind="stable")
         bins, offsets = best_fit_decreasing(pdf["length"].to_numpy(np.int64), max_tokens)
         # 2^31 sequences a group are more than its tokens allow
         pdf = pdf.assign(sequence_id=(int(key[0]) << 31) + bins, offset=offsets, length=pdf["length"].astype("int64"))
         return pdf[["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]]
 
-    group = F.pmod(F.xxhash64("doc_id", "piece", "text_key"), F.lit(groups)).alias("group")
+    group = F.pmod(F.xxhash64("doc_id", "piece", "text_key", "place"), F.lit(groups)).alias("group")
     return pieces.select(group, "*").groupBy("group").applyInPandas(
         fill, "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
 

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from docmonitor.llm.common import read_table, rows_of_all, small_batches, text_or_empty
+from docmonitor.llm.common import read_table, rows_of_all, small_batches, text_or_empty, under_numbers
 from docmonitor.session import materialise
 
 SYMBOLS = b"#*$%&|<>"
@@ -26,9 +26,8 @@ WINDOW = 5
 LEAST_WORDS = 10
 MOST_REPEATED = 20  # percent of the words
 COMMON_WORDS = 100
-LEAST_SHARE = 0.002  # of all words, for a language to have a reference ...
-ENOUGH_WORDS = 200_000  # ... and as many are enough whatever their share
-MOST_LANGUAGES = 500  # the largest ones
+REFERENCE_WORDS = 5_000  # of a language, for stable histograms
+BLOCK_LANGUAGES = 500  # compared with in one pass
 GUARD_CHARS = 200
 GUARD_WORDS = 50
 MOST_CHAR_DISTANCE = 0.30
@@ -95,13 +94,13 @@ def distance(p: np.ndarray, q: np.ndarray) -> float:
     return float(np.sqrt(max(0.0, both / 2)))
 
 
-def references(docs: DataFrame) -> dict[str, tuple[np.ndarray, dict[bytes, int], np.ndarray]]:
-    """Per language: character classes, common words by number, and their counts.
+def references(docs: DataFrame, least_words: int = REFERENCE_WORDS) -> DataFrame:
+    """A row a language: ``lang, chars`` (classes' counts), ``words`` (the common ones) and
+    ``counts`` (theirs, then of words that are marks, then of all others).
 
     Counted over all whole texts.  Each task first sums what it has, so what is shuffled is
-    a row a language, word and task.  A language is one that holds ``LEAST_SHARE`` of all
-    words, or ``ENOUGH_WORDS``; what comes to the driver has a bound: 500 languages, 100
-    words each.
+    a row a language, word and task.  A language has a reference from ``least_words`` words
+    on, whatever the rest of the table holds.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -128,39 +127,41 @@ def references(docs: DataFrame) -> dict[str, tuple[np.ndarray, dict[bytes, int],
     cells = (texts.mapInArrow(count, "lang string, cell string, n long")
              .groupBy("lang", "cell").agg(F.sum("n").alias("n")))
     cells = materialise(cells, "language-cells")
-    words = cells.where("cell LIKE 'w%'")
-    sizes = {r["lang"]: r["n"] for r in words.groupBy("lang").agg(F.sum("n").alias("n"))
-             .orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES).collect()}
-    total = words.agg(F.sum("n")).first()[0] or 0
-    langs = sorted(k for k, n in sizes.items() if n >= min(LEAST_SHARE * total, ENOUGH_WORDS))
-    order = Window.partitionBy("lang").orderBy(F.desc("n"), "cell")
-    top = (cells.where(F.col("lang").isin(langs)).where("cell LIKE 'w_%'")
-           .withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= COMMON_WORDS))
-    common: dict[str, list] = {k: [] for k in langs}
-    for r in top.orderBy("lang", "rank").collect():
-        common[r["lang"]].append((r["cell"][1:].encode(), r["n"]))
-    chars = {k: np.zeros(CLASSES) for k in langs}
-    marks = {}
-    for r in cells.where(F.col("lang").isin(langs)).where("cell LIKE 'c_' OR cell = 'w'").collect():
-        if r["cell"] == "w":
-            marks[r["lang"]] = r["n"]
-        else:
-            chars[r["lang"]][int(r["cell"][1:])] = r["n"]
-    return {k: (chars[k], {w: i for i, (w, _) in enumerate(common[k])},
-                np.array([*(n for _, n in common[k]), marks.get(k, 0),
-                          max(0, sizes[k] - sum(n for _, n in common[k]) - marks.get(k, 0))], float))
-            for k in langs if chars[k].sum()}
-
-
-def divergence(data: bytes, words: list[bytes], refs: dict, lang: str | None) -> tuple[float | None, float | None]:
-    """Distances of characters and of common words to the nearest language: the one for
-    which their sum is least.  None where the text is too short, or there is no language;
-    that of words also where the text's own language ``lang`` is set but has no reference."""
+    is_word = F.col("cell").startswith("w")
+    sizes = cells.groupBy("lang").agg(
+        F.sum(F.when(is_word, F.col("n"))).alias("n_words"),
+        F.coalesce(F.sum(F.when(F.col("cell") == "w", F.col("n"))), F.lit(0)).alias("n_marks"),
+        *(F.sum(F.when(F.col("cell") == f"c{i}", F.col("n"))).alias(f"c{i}") for i in range(CLASSES)))
+    order = Window.partitionBy("lang").orderBy(F.desc("n"), "cell")  # cut in each task before the shuffle
+    top = (cells.where("cell LIKE 'w_%'").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= COMMON_WORDS)
+           .groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("rank", F.substring("cell", 2, 1 << 30).alias("word"), "n"))).alias("top")))
+    common = F.coalesce(F.col("top.n"), F.array().cast("array<long>"))
+    rest = F.col("n_words") - F.col("n_marks") - F.aggregate(common, F.lit(0).cast("long"), lambda x, y: x + y)
+    rows = sizes.where(F.col("n_words") >= least_words).join(top, "lang", "left").select(
+        "lang", F.array(*(f"c{i}" for i in range(CLASSES))).cast("array<double>").alias("chars"),
+        F.coalesce(F.col("top.word"), F.array().cast("array<string>")).alias("words"),
+        F.concat(common, F.array("n_marks", rest)).cast("array<double>").alias("counts"))
+    return materialise(rows.where(F.exists("chars", lambda n: n > 0)), "references")
+
+
+def reference_blocks(refs: DataFrame, most: int = BLOCK_LANGUAGES) -> list[dict]:
+    """All references in blocks of some ``most`` languages, so that what a pass broadcasts (3 kB
+    a language) has a bound however many there are; one block for any usual table."""
+    n = max(1, -(-refs.count() // most))
+    numbered = refs.withColumn("block", F.pmod(F.xxhash64("lang"), F.lit(n)))
+    return [{r["lang"]: (np.array(r["chars"]), {w.encode(): i for i, w in enumerate(r["words"])}, np.array(r["counts"]))
+             for r in numbered.where(F.col("block") == k).orderBy("lang").collect()} for k in range(n)]
+
+
+def divergence(data: bytes, words: list[bytes], refs: dict, compare_words: bool,
+               best: tuple[float | None, float | None] = (None, None)) -> tuple[float | None, float | None]:
+    """Distances of characters and of common words to the nearest language, the one for
+    which their sum is least, among ``refs`` and the ``best`` found before.  None where the
+    text is too short, or there is no language; that of words also unless ``compare_words``."""
     hist = char_histogram(data)
-    if hist.sum() < GUARD_CHARS or not refs:
-        return None, None
-    found = plain(words) if len(words) >= GUARD_WORDS and (lang is None or lang in refs) else None
-    best = None
+    if hist.sum() < GUARD_CHARS:
+        return best
+    found = plain(words) if compare_words and len(words) >= GUARD_WORDS else None
     for chars, common, counts in refs.values():
         c, w = distance(hist, chars), None
         if found is not None:
@@ -170,53 +171,75 @@ def divergence(data: bytes, words: list[bytes], refs: dict, lang: str | None) ->
             own[-2] = found.get(b"", 0)
             own[-1] = len(words) - own.sum()
             w = distance(own, counts)
-        if best is None or c + (w or 0) < best[0] + (best[1] or 0):
+        if best[0] is None or c + (w or 0) < best[0] + (best[1] or 0):
             best = c, w
     return best
 
 
 def judge(docs: DataFrame, most_char: float = MOST_CHAR_DISTANCE, most_word: float = MOST_WORD_DISTANCE,
-          keep_columns: bool = False) -> DataFrame:
+          keep_columns: bool = False, least_words: int = REFERENCE_WORDS, block: int = BLOCK_LANGUAGES) -> DataFrame:
     """Counts, distances and the verdict of every document.
 
     ``base_failed``: fewer than ten words, or more than a fifth of the words stand in
     five-word windows that come twice or more.  ``kept``: not failed, and neither distance
     is over its limit; a distance that isn't known (short text, no language with a
-    reference, or for words an own language without one) speaks for the document.  A null text has no words, so it fails.  Repeated
-    rows are judged alike.  With ``keep_columns`` the rows keep their own columns and get
-    ``kept`` and no other.
+    reference, or for words an own language without one) speaks for the document.  A null
+    text has no words, so it fails.  Repeated rows are judged alike.  Texts are judged whole;
+    a very long one is held with its words in its task.  An empty table gives an empty
+    result.  With ``keep_columns`` the rows keep their own columns, whatever their names, and
+    get ``kept`` (in the place of an own one) and no other.
     """
-    spark = docs.sparkSession
-    model = spark.sparkContext.broadcast(references(docs))  # at most 500 languages
-    names = {**COUNTS, "base_failed": pa.bool_(), "char_distance": pa.float64(), "word_distance": pa.float64(),
-             "kept": pa.bool_()}
+    refs = references(docs, least_words)
     own = ["doc_id"] if not keep_columns else [c for c in docs.columns if c != "kept"]
+    need = list(dict.fromkeys([*own, "text", "lang"]))
+    rows, inner = under_numbers(docs.select(*(F.col(f"`{c}`") for c in need)), ("doc_id", "text", "lang"))
+    known = refs.select(F.col("lang").alias("_ref"), F.lit(True).alias("_known"))
+    lang = F.col("lang").cast("string")
+    rows = rows.join(known, lang == F.col("_ref"), "left").withColumn("_words", F.col("lang").isNull() | F.col("_known").isNotNull()).drop("_ref", "_known")
+    carried = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in inner)
+    counts = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean"
+    found = "char_distance double, word_distance double"
+    spark, passes = docs.sparkSession, reference_blocks(refs, block)
+    # one pass counts; each takes the nearest so far on to its own block of languages
+    for i, part in enumerate(passes):
+        rows = rows.mapInArrow(_compare(spark.sparkContext.broadcast(part), inner, i == 0), f"{carried}, _words boolean, {counts}, {found}")
+    near = lambda name, most: F.coalesce(F.col(name), F.lit(0.0)) <= most
+    kept = ~F.col("base_failed") & near("char_distance", most_char) & near("word_distance", most_word)
+    names = dict(zip(inner, need))
+    out = [F.col(f"`{c}`").alias(names[c]) for c in inner if names[c] in own]
+    if keep_columns:
+        return rows.select(*out, kept.alias("kept"))
+    return rows.select(*out, *(c.split()[0] for c in f"{counts}, {found}".split(", ")), kept.alias("kept"))
+
+
+def _compare(model, carried: list[str], first: bool):
+    made = {**COUNTS, "base_failed": pa.bool_()}
+    distances = {"char_distance": pa.float64(), "word_distance": pa.float64()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         refs = model.value
         for batch in batches:
-            out = []
-            texts, langs = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("text", "_own_lang"))
-            for text, lang in zip(texts, langs):
+            column = lambda c: batch.column(batch.schema.get_field_index(c))
+            got, near = [], []
+            before = [(None, None)] * batch.num_rows if first else zip(*(column(c).to_pylist() for c in distances))
+            failed = [None] * batch.num_rows if first else column("base_failed").to_pylist()
+            for text, by_words, best, bad in zip(column("text").to_pylist(), column("_words").to_pylist(), before, failed):
                 data = (text or "").encode("utf-8", "replace")
                 words = data.split()
-                counts = base_counts(data, words)
-                failed = counts[0] < LEAST_WORDS or 100 * counts[4] > MOST_REPEATED * counts[0]
-                c, w = (None, None) if failed else divergence(data, words, refs, lang)
-                out.append((*counts, failed, c, w, not failed and (c or 0) <= most_char and (w or 0) <= most_word))
-            columns = list(zip(*out)) or [()] * len(names)
-            made = {k: pa.array(v, t) for (k, t), v in zip(names.items(), columns)}
-            if keep_columns:
-                made = {"kept": made["kept"]}
-            kept = {c: batch.column(batch.schema.get_field_index(c)) for c in own}
-            yield pa.RecordBatch.from_pydict(kept | made)
-
-    fields = ", ".join([*(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in own),
-                        *(["kept boolean"] if keep_columns else [
-                            "n_words long", "word_chars long", "n_symbols long", "n_dup_lines long", "n_repeat_words long",
-                            "base_failed boolean", "char_distance double", "word_distance double", "kept boolean"])])
-    need = dict.fromkeys([*own, "text"])
-    return docs.select(*need, F.col("lang").cast("string").alias("_own_lang")).mapInArrow(run, fields)
+                if first:
+                    counts = base_counts(data, words)
+                    bad = counts[0] < LEAST_WORDS or 100 * counts[4] > MOST_REPEATED * counts[0]
+                    got.append((*counts, bad))
+                near.append((None, None) if bad else divergence(data, words, refs, by_words, best))
+            out = {c: column(c) for c in [*carried, "_words"]}
+            if first:
+                out |= {k: pa.array(v, t) for (k, t), v in zip(made.items(), list(zip(*got)) or [()] * len(made))}
+            else:
+                out |= {c: column(c) for c in made}
+            out |= {k: pa.array(v, t) for (k, t), v in zip(distances.items(), list(zip(*near)) or [(), ()])}
+            yield pa.RecordBatch.from_pydict(out)
+
+    return run
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

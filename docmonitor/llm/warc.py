@@ -87,17 +87,24 @@ def write_warc(records: DataFrame, folder: str, date: str = "1970-01-01T00:00:00
     """Writes records, a gzip member each, into files under ``folder``; returns their manifest.
 
     A file is named anew in each attempt; only those of the attempts that count are in the
-    manifest, a written table, so lost executors leave unused files and nothing else.
+    manifest, a written table, so lost executors leave unused files and nothing else.  Nothing
+    to write gives an empty manifest.  A payload is held whole, a few times over, in its task.
     """
 
+    ordered = records.select("page_id", "url", "payload", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    return materialise(ordered.mapInArrow(_writer(folder, date, file_bytes), "path string, bytes long, records long"), "warc-files")
+
+
+def _writer(folder: str, date: str, file_bytes: int):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, base = open_folder(folder)
         fs.create_dir(base, recursive=True)
         out, path, size, n = None, "", 0, 0
         for row in rows_of_all(batches):
             if out is None:
-                path = f"{base}/{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}.warc.gz"
-                out, size, n = fs.open_output_stream(path, compression=None), 0, 0
+                name = f"{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}.warc.gz"
+                path = f"{folder}/{name}"  # with its scheme: readers open the same store
+                out, size, n = fs.open_output_stream(f"{base}/{name}", compression=None), 0, 0
             packer = zlib.compressobj(6, zlib.DEFLATED, 31)
             member = packer.compress(record(*row, date)) + packer.flush()
             out.write(member)
@@ -110,8 +117,7 @@ def write_warc(records: DataFrame, folder: str, date: str = "1970-01-01T00:00:00
             out.close()
             yield pa.RecordBatch.from_pylist([{"path": path, "bytes": size, "records": n}], schema=MANIFEST)
 
-    ordered = records.select("page_id", "url", "payload", "payload_bytes", "payload_digest", "record_type", "refers_to")
-    return materialise(ordered.mapInArrow(write, "path string, bytes long, records long"), "warc-files")
+    return write
 
 
 class Bytes:
@@ -191,27 +197,28 @@ def parse(path: str, at: int, data: bytes) -> dict:
     }
 
 
+def _read_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for path, size, first, last in rows_of_all(batches):
+        fs, at = open_folder(path)
+        with fs.open_input_file(at) as file:
+            held, held_bytes = [], 0
+            for place, data in members(file, size, first, last):
+                held.append(parse(path, place, data))
+                held_bytes += len(data)
+                if held_bytes >= 4 << 20:
+                    yield pa.RecordBatch.from_pylist(held, schema=RECORDS)
+                    held, held_bytes = [], 0
+            if held:
+                yield pa.RecordBatch.from_pylist(held, schema=RECORDS)
+
+
 def read_warc(manifest: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFrame:
     """One row a record of the archives.  A revisit has no payload of its own."""
 
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for path, size, first, last in rows_of_all(batches):
-            fs, at = open_folder(path)
-            with fs.open_input_file(at) as file:
-                held, held_bytes = [], 0
-                for place, data in members(file, size, first, last):
-                    held.append(parse(path, place, data))
-                    held_bytes += len(data)
-                    if held_bytes >= 4 << 20:
-                        yield pa.RecordBatch.from_pylist(held, schema=RECORDS)
-                        held, held_bytes = [], 0
-                if held:
-                    yield pa.RecordBatch.from_pylist(held, schema=RECORDS)
-
     first = F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.col("bytes") - 1, F.lit(0)), F.lit(split_bytes).cast("long")))
     ranges = manifest.select("path", "bytes", first.alias("first")).select(
         "path", "bytes", "first", F.least(F.col("first") + split_bytes, F.col("bytes")).alias("last"))
-    return one_task_each(ranges).mapInArrow(read, RECORDS_DDL)
+    return one_task_each(ranges).mapInArrow(_read_ranges, RECORDS_DDL)
 
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -192,6 +192,21 @@ def test_search_recall(shared):
     assert sum(v in got[q] for q, _, v, _ in want) / len(want) >= 0.9
 
 
+def test_recall_with_the_parameters_as_they_are(shared, monkeypatch):
+    """Vectors of little structure, queries in several blocks; not all cells are opened."""
+    r = np.random.default_rng(8)
+    x = (r.normal(size=(6, 24))[r.integers(0, 6, 3000)] + 0.7 * r.normal(size=(3000, 24))).astype(np.float32).astype(float)
+    df = shared.createDataFrame([(i, v.tolist(), 1, 0.5, 3) for i, v in enumerate(x)], SCHEMA)
+    monkeypatch.setattr(multi_index, "CHUNK_QUERIES", 7)
+    got, seen = {}, multi_index.search(df, F.col("vec_id") % 100 == 0).collect()
+    for q, _, v, d in seen:
+        got.setdefault(q, set()).add(v)
+        assert abs(d - np.sqrt(((x[q] - x[v]) ** 2).sum())) < 1e-12
+    hits = sum(len(got[q] & set(np.argsort(((x - x[q]) ** 2).sum(1), kind="stable")[1:11].tolist())) for q in range(0, 3000, 100))
+    assert len(seen) == 300 and hits / 300 >= 0.9
+    assert max(multi_index.LEAST_SEEN, multi_index.SEEN_SHARE * 3000) < 0.5 * 3000
+
+
 def test_cells_are_walked_in_order():
     r = np.random.default_rng(3)
     d1, d2, counts = r.random(9), r.random(7), r.integers(0, 4, (9, 7))

@@ -70,3 +70,10 @@ def test_no_documents(documents):
 def test_main_path_is_native(documents, mixed_rows):
     plan = mixing.mix(mixing.size_documents(documents(mixed_rows)))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_null_text_and_null_source_are_told_apart(documents):
+    rows = [(1, None, "en", "t w o"), (1, "t w o", "en", None), (2, "a,b c", "en", "x"), (2, "c", "en", "x,=a,b ")]
+    got = mixing.mix(mixing.size_documents(documents(rows))).collect()
+    assert sorted((r["doc_id"], r["source"] or "", r["size"]) for r in got) == [(1, "", 3), (1, "t w o", 0), (2, "x", 2), (2, "x,=a,b ", 1)]
+    assert len({bytes(r["row_key"]) for r in got}) == 4 and all(r["copies"] == 0 for r in got if not r["size"])

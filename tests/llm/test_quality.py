@@ -48,8 +48,8 @@ def test_kept_columns_and_empty_table(documents, mixed_rows):
     assert quality_rules.judge(documents([])).collect() == []
 
 
-def test_clean_documents_of_a_rare_language(documents, monkeypatch):
-    """A language under the least share has no reference, and the others' words don't judge it."""
+def test_clean_documents_of_a_rare_language(documents):
+    """A language under the least number of words has no reference, and the others' words don't judge it."""
     r = random.Random(5)
     rare = " ".join(r.choice("huis boom water fiets straat brood winter kaas molen lucht".split()) for _ in range(70))
     docs = documents([(i, prose(i, 1000), "en", "s") for i in range(40)] + [(100, rare, "nl", "s"), (101, rare, "en", "s")])
@@ -57,9 +57,73 @@ def test_clean_documents_of_a_rare_language(documents, monkeypatch):
     assert got[100]["kept"] and got[100]["word_distance"] is None and got[100]["char_distance"] is not None
     assert not got[101]["kept"] and got[101]["word_distance"] > quality_rules.MOST_WORD_DISTANCE
     assert all(got[i]["kept"] and got[i]["word_distance"] is not None for i in range(40))
-    assert sorted(quality_rules.references(docs)) == ["en"]
-    monkeypatch.setattr(quality_rules, "ENOUGH_WORDS", 70)
-    assert sorted(quality_rules.references(docs)) == ["en", "nl"]
+    langs = lambda least: sorted(r["lang"] for r in quality_rules.references(docs, least).collect())
+    assert langs(quality_rules.REFERENCE_WORDS) == ["en"] and langs(70) == ["en", "nl"]
+
+
+def classes_by_hand(text):
+    out = np.zeros(6)
+    for b in (text or "").encode():
+        c = chr(b)
+        if c in " \t\n\x0b\x0c\r":
+            continue
+        out[0 if "a" <= c <= "z" or b >= 128 else 1 if "A" <= c <= "Z" else 2 if "0" <= c <= "9"
+            else 3 if c in ".,;:!?'\"-()" else 4 if c in "#*$%&|<>" else 5] += 1
+    return out
+
+
+def plain_by_hand(text):
+    marks = "".join(chr(i) for i in range(128) if not chr(i).isalnum() and chr(i) not in " \t\n\x0b\x0c\r")
+    lower = "".join(c.lower() if c.isascii() else c for c in text or "")
+    return [w.strip(marks) for w in __import__("re").findall(r"[^\x20\x09-\x0D]+", lower)]
+
+
+def distance_by_hand(p, q):
+    p, q = [x / sum(p) for x in p], [x / sum(q) for x in q]
+    kl = lambda a, b: sum(u * math.log2(2 * u / (u + v)) for u, v in zip(a, b) if u)
+    return math.sqrt(max(0.0, (kl(p, q) + kl(q, p)) / 2))
+
+
+def test_distances_and_verdicts_by_hand(documents, mixed_rows):
+    """References, distances and verdicts against a plain count; blocks of languages change nothing."""
+    rows = [(1000 + i, prose(i, 150), ("en", "fr")[i % 2], "s") for i in range(20)]
+    rows += [(2000 + i, " ".join(w[::-1] for w in prose(i, 90).split()), f"l{i % 4}", "s") for i in range(12)]
+    junk = " ".join(w.upper() + "!!###$$$" for w in prose(77, 200).split())
+    rows += [(1, junk, "en", "s"), (2, junk, None, "s"), *((i and i + 5000, *x) for i, *x in mixed_rows if i not in (103, 107))]
+    texts = {}
+    for _, text, lang, _ in rows:
+        if lang is not None:
+            texts.setdefault(lang, []).append(text)
+    refs = {}
+    for lang, of in texts.items():
+        words = __import__("collections").Counter(w for t in of for w in plain_by_hand(t))
+        if sum(words.values()) >= 100:
+            top = sorted((-n, w.encode()) for w, n in words.items() if w)[:100]
+            rest = sum(words.values()) - words[""] + sum(n for n, _ in top)
+            refs[lang] = sum(map(classes_by_hand, of)), {w.decode(): k for k, (_, w) in enumerate(top)}, [*(-n for n, _ in top), words[""], rest]
+    want = {}
+    for i, text, lang, _ in rows:
+        n_words, *_, repeated = counts_by_hand(text)
+        near = None, None
+        if n_words >= 10 and 100 * repeated <= 20 * n_words and classes_by_hand(text).sum() >= 200:
+            for chars, common, counts in refs.values():
+                c, w = distance_by_hand(classes_by_hand(text), chars), None
+                if n_words >= 50 and (lang is None or lang in refs):
+                    own = [0] * len(counts)
+                    for word in plain_by_hand(text):
+                        own[-2 if not word else common.get(word, -1)] += 1
+                    w = distance_by_hand(own, counts)
+                if near[0] is None or c + (w or 0) < near[0] + (near[1] or 0):
+                    near = c, w
+        want[i] = (*near, not (n_words < 10 or 100 * repeated > 20 * n_words) and (near[0] or 0) <= 0.30 and (near[1] or 0) <= 0.54)
+    assert len(refs) == 6 and {k for _, _, k in want.values()} == {True, False}
+    for block in (500, 2):
+        got = {r["doc_id"]: r for r in quality_rules.judge(documents(rows), least_words=100, block=block).collect()}
+        assert set(got) == set(want)
+        for i, (c, w, kept) in want.items():
+            assert got[i]["kept"] == kept, i
+            for name, value in (("char_distance", c), ("word_distance", w)):
+                assert (got[i][name] is None) == (value is None) and abs((got[i][name] or 0) - (value or 0)) < 1e-9, (i, name)
 
 
 def test_jensen_shannon_distance():

@@ -95,3 +95,27 @@ def test_pipeline_of_nothing(shared, documents):
     for _, stage in pipeline.STAGES:
         docs = stage(shared, docs, SF_DIR)
         assert docs.collect() == []
+
+
+CLASHING = ("kept", "n_lines", "n_removed", "row_key", "_row_key", "_key", "_one", "_removed", "_copies", "_own_lang", "size", "copies",
+            "_first", "_place", "extra0", "extra9", "fp", "site", "text_key", "place", "block", "a.b")
+
+
+def test_pipeline_stages_carry_all_columns(shared):
+    """Columns of any name come through, ``source`` and ``lang`` may be missing, and rows repeated 1,000 times are no trouble."""
+    import corpus_pipeline as pipeline
+    from pyspark.sql import functions as F
+
+    rows = [(i, prose(i, 30 + i)) for i in range(30)] + [(40, prose(40, 60))] * 1000 + [(None, prose(41, 50)), (42, prose(3, 33)), (43, None)]
+    docs = shared.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    docs = docs.select("*", *(F.concat(F.lit(c), F.col("doc_id").cast("string")).alias(c) for c in CLASHING))
+    sizes = []
+    for name, stage in pipeline.STAGES[:-1]:
+        docs = pipeline.materialise(stage(shared, docs, SF_DIR), name)
+        assert docs.columns == ["doc_id", "text", *CLASHING]
+        got = docs.collect()
+        sizes.append(len(got))
+        assert all(r[c] == (None if r["doc_id"] is None else f"{c}{r['doc_id']}") for r in got for c in CLASHING)
+    assert sizes[:3] == [1032, 1032, 32] and 32 <= sizes[3] <= 64
+    packed = pipeline.STAGES[-1][1](shared, docs, SF_DIR).collect()
+    assert sum(r["piece"] == 0 for r in packed) == sizes[3]

@@ -1,10 +1,12 @@
 import gzip
 import hashlib
+import types
 
+import pyarrow as pa
 import pytest
 from pyarrow import fs
 
-from docmonitor.llm import warc
+from docmonitor.llm import common, warc
 from docmonitor.session import scratch_path
 
 BIG = "<p>" + "same page " * 40
@@ -71,3 +73,36 @@ def test_magic_inside_a_member_is_no_record(tmp_path):
 
 def test_no_pages(shared, pages):
     assert read(pages.limit(0), shared, 100)[1] == []
+
+
+def test_files_keep_the_scheme_of_their_folder(shared, pages):
+    """Readers get whole addresses, so they open the store that was written to."""
+    folder = scratch_path(shared, "w")
+    folder = folder if "://" in folder or folder.startswith("file:") else "file://" + folder
+    manifest = warc.write_warc(warc.plan_records(pages), folder)
+    assert all(r["path"].startswith(folder + "/") for r in manifest.collect())
+    assert warc.read_warc(manifest).count() == len(PAGES)
+
+
+def test_stores_are_named_as_in_spark(monkeypatch):
+    asked = []
+    monkeypatch.setattr(common, "from_uri", lambda uri: asked.append(uri) or ("store", uri))
+    for uri in ("s3a://b/x", "s3n://b/x", "s3://b/x", "hdfs://n:1/x", "gs://b/x"):
+        common.open_folder(uri)
+    assert asked == ["s3://b/x", "s3://b/x", "s3://b/x", "hdfs://n:1/x", "gs://b/x"]
+    assert isinstance(common.open_folder("file:///a/b")[0], fs.LocalFileSystem) and common.open_folder("file:/a/b")[1] == "/a/b"
+    assert common.open_folder("/a/b")[1] == "/a/b"
+
+
+def test_another_store_than_the_local_one(monkeypatch, tmp_path):
+    """What a writer's task puts into a store under a whole address, a reader's task finds there."""
+    store = fs.SubTreeFileSystem(str(tmp_path), fs.LocalFileSystem())
+    monkeypatch.setattr(common, "from_uri", lambda uri: (store, uri.split("://")[1]))
+    monkeypatch.setattr(warc, "TaskContext", types.SimpleNamespace(get=lambda: types.SimpleNamespace(partitionId=lambda: 0)))
+    write = warc._writer("gs://bucket/warc", "1970-01-01T00:00:00Z", 1 << 20)
+    rows = pa.RecordBatch.from_pylist([
+        {"page_id": 1, "url": "u", "payload": b"abc", "payload_bytes": 3, "payload_digest": "d", "record_type": "response", "refers_to": None}])
+    made = [r for b in write(iter([rows])) for r in b.to_pylist()]
+    assert made[0]["path"].startswith("gs://bucket/warc/") and (tmp_path / "bucket" / "warc").is_dir()
+    ranges = pa.RecordBatch.from_pylist([{"path": m["path"], "bytes": m["bytes"], "first": 0, "last": m["bytes"]} for m in made])
+    assert [r["payload"] for b in warc._read_ranges(iter([ranges])) for r in b.to_pylist()] == [b"abc"]
