@@ -7,10 +7,13 @@ without (``source``, ``lang``) are taken as null; extra columns are carried alon
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from docmonitor.llm.common import read_table, small_batches, tokenizer_path
+from docmonitor.llm.common import read_table, row_key, small_batches, tokenizer_path, under_numbers
 from docmonitor.llm.line_dedup import dedupe_lines
 from docmonitor.llm.mixing import mix, size_documents
 from docmonitor.llm.packing import pack, token_pieces
@@ -19,12 +22,26 @@ from docmonitor.llm.token_groups import near_components
 from docmonitor.session import materialise
 
 
+def carrying(stage: Callable) -> Callable:
+    """A stage that sees the columns of documents alone under their names, and gives all
+    columns back as they came, whatever they are called."""
+
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        rows, inner = under_numbers(docs, ("doc_id", "text", "lang", "source", "n_chars"), ("lang", "source"))
+        return stage(spark, rows, sf_dir).select(*inner).toDF(*docs.columns)
+
+    return run
+
+
+@carrying
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the documents that pass the quality rules."""
     small_batches(spark)
-    return judge(docs, keep_columns=True).where("kept").select(*docs.columns)
+    return judge(docs, keep_columns=True).where("kept")
 
 
+@carrying
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Removes lines that stand on many sites but at their first place; documents of
     which no word is left go, and ``n_chars`` follows the text."""
@@ -35,9 +52,10 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     if "n_chars" in docs.columns:
         changed = F.when(F.col("n_removed") > 0, F.char_length("text")).otherwise(F.col("n_chars"))
         out = out.withColumn("n_chars", changed.cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+    return out
 
 
+@carrying
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group of near copies (5-word shingles, Jaccard 0.8): the
     one with the least number, of equal rows one.  Documents without words all stay."""
@@ -49,19 +67,22 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
         F.min("_first").alias("_first"))
     keep = first.select(F.col("_first.row_key").alias("_key"), F.lit(True).alias("_one")).unionByName(
         found.where("n_shingles = 0").select(F.col("row_key").alias("_key"), F.lit(False).alias("_one"))).distinct()
-    keyed = docs.withColumn("_row_key", F.xxhash64("doc_id", "source", "text"))
+    keyed = docs.withColumn("_row_key", row_key())
     kept = keyed.join(keep, keyed["_row_key"] == keep["_key"])
+    # a limit by rank, so that rows repeated in full are cut in each task before they meet
     place = F.row_number().over(Window.partitionBy("_row_key").orderBy("doc_id"))
-    return kept.withColumn("_place", place).where("NOT _one OR _place = 1").select(*docs.columns)
+    one = kept.where("_one").withColumn("_place", place).where("_place = 1").drop("_place")
+    return one.unionByName(kept.where("NOT _one"))
 
 
+@carrying
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeats each document as often as the mix takes it; those it doesn't take go."""
+    """Repeats each document as often as the mix takes it; those it doesn't take, and those
+    without words, go."""
     mixed = mix(size_documents(docs)).groupBy("row_key").agg(F.max("copies").alias("_copies")).where("_copies > 0")
-    keyed = docs.withColumn("_row_key", F.xxhash64("doc_id", "source", "text"))
+    keyed = docs.withColumn("_row_key", row_key())
     taken = keyed.join(mixed, keyed["_row_key"] == mixed["row_key"])
-    copy = F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))
-    return taken.select(*docs.columns, copy.alias("_copy")).select(*docs.columns)
+    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
