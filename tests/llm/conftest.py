@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -11,9 +10,7 @@ from samples import prose  # noqa: E402
 
 @pytest.fixture(scope="session")
 def shared(spark):
-    """A folder for intermediate tables, where the session names none."""
-    if not spark.conf.get("spark.checkpoint.dir", ""):
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="llm-tests-"))
+    """The tests' session, with small batches."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "256")
     return spark
 
