@@ -111,6 +111,25 @@ def test_jaccard_join(documents, mixed_rows, monkeypatch, size, percent, hot, ch
         components_by_hand(rows, size, percent), key=key)
 
 
+def test_two_families_of_many_chunks(documents, monkeypatch):
+    """Members outside the largest component of their group still meet all its chunks."""
+    monkeypatch.setattr(token_groups, "CHUNK_NODES", 20)
+    r = random.Random(3)
+    words, rows = prose(77, 90).split(), []
+    passage = prose(78, 40)
+    for n in range(400):
+        w = list(words)
+        if n % 4 == 0:  # a second family that shares most of its words with the first
+            w[60:72] = prose(79, 12).split()
+        w[r.randrange(len(w))] = f"x{n}"
+        rows.append((n, " ".join(w), "en", "s"))
+    rows += [(n, prose(9000 + n, 50) + " " + passage, "en", "s") for n in range(400, 600)]
+    got = token_groups.near_components(documents(rows), 3, 90).collect()
+    want = components_by_hand(rows, 3, 90)
+    assert sorted((x["doc_id"], x["n_shingles"], x["component_id"]) for x in got) == sorted(want)
+    assert len({c for *_, c in want}) < 500
+
+
 def test_bounds_lose_no_pair():
     r = np.random.default_rng(2)
     sets = []
