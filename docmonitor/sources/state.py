@@ -38,15 +38,11 @@ def _read_or_empty(spark: SparkSession, table_schema: T.StructType, path: str) -
 
 # -- JSON form --------------------------------------------------------------------
 def seen_from_json(objects: DataFrame) -> DataFrame:
-    """State rows of ``(documents map, zips map)`` objects."""
-
-    def rows(kind):
-        return objects.select(F.explode(kind).alias("key", "entry")).select(
-            F.lit(kind).alias("kind"), "key", "entry.last_modified", "entry.last_seen",
-            "entry.target_year",
-        )
-
-    return rows(DOCUMENTS).unionByName(rows(ZIPS))
+    """State rows of ``(documents map, zips map)`` objects, which are read once for both."""
+    parts = F.array(*[F.struct(F.lit(kind).alias("kind"), F.col(kind).alias("entries")) for kind in (DOCUMENTS, ZIPS)])
+    return objects.select(F.explode(parts).alias("part")).select(
+        "part.kind", F.explode("part.entries").alias("key", "entry")
+    ).select("kind", "key", "entry.last_modified", "entry.last_seen", "entry.target_year")
 
 
 def load_seen(spark: SparkSession, path: str, dry_run: bool = False) -> DataFrame:
