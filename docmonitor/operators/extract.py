@@ -26,7 +26,7 @@ def page_hits(pages: DataFrame, kinds=KINDS) -> DataFrame:
     found = (
         pages.select("url", "html")
         .where(H.may_have(F.col("html"), kinds))
-        .select("url", H.html_hits("html", "url").alias("hits"))
+        .select("url", H.html_hits("html", "url", kinds).alias("hits"))
     )
     # not `inline`: Spark would test the list for emptiness by parsing twice
     return found.select("url", F.inline_outer("hits")).where(F.col("kind").isin(*kinds))
