@@ -59,6 +59,11 @@ def joined(*names: str):
     return {n: F.array_join(n, ",") for n in names}
 
 
+def written(rows: DataFrame, name: str) -> DataFrame:
+    """Input that a query reads several times, as the table it stands for."""
+    return materialise(rows, name)
+
+
 def all_rows(spark, sf) -> DataFrame:
     """Plain files and all archive members, nothing skipped."""
     archives, plain = J.route_zip(V.docs_in(spark, sf))
@@ -213,7 +218,7 @@ def paginate(spark, sf):
 
 @query
 def walk_to_files(spark, sf):
-    return walk(V.pages_in(spark, sf), V.START_URL, SITE_PARAMS).drop("crawl_path")
+    return walk(written(V.pages_in(spark, sf), "pages"), V.START_URL, SITE_PARAMS).drop("crawl_path")
 
 
 @query
@@ -475,19 +480,23 @@ def zip_supported_files(spark, sf):
     return lists.withColumns(joined("supported_files"))
 
 
-def _second_run(spark, sf, limit=0):
+def _second_run_on(spark, sf, limit=0):
     params = RunParams(
         project="x", from_year=1995, to_year=2001, run_ts=RUN_TS, upload_limit=limit
     )
-    return plan_run(V.docs_in(spark, sf), V.members_in(spark, sf), V.seen_in(spark, sf), params)
+    members = written(V.members_in(spark, sf), "members")
+    seen = written(V.seen_in(spark, sf, members), "seen")
+    return plan_run(V.docs_in(spark, sf), members, seen, params), seen, members
+
+
+def _second_run(spark, sf, limit=0):
+    return _second_run_on(spark, sf, limit)[0]
 
 
 @query
 def complete_zips(spark, sf):
-    run = _second_run(spark, sf)
-    return J.complete_zips(
-        run.accepted, V.members_in(spark, sf), V.seen_in(spark, sf), PARAMS.supported_extensions
-    )
+    run, seen, members = _second_run_on(spark, sf)
+    return J.complete_zips(run.accepted, members, seen, PARAMS.supported_extensions)
 
 
 @query
@@ -513,8 +522,9 @@ def upsert_documents(spark, sf):
 
 @query
 def upsert_zips(spark, sf):
-    seen, members = V.seen_in(spark, sf), V.members_in(spark, sf)
-    accepted = _second_run(spark, sf).accepted
+    run, seen, members = _second_run_on(spark, sf)
+    accepted = written(run.accepted.select(
+        "file_from_zip", "source_file_url", "event_data_key", "publication_lastmodified", "year"), "accepted")
     complete = J.complete_zips(accepted, members, seen, PARAMS.supported_extensions)
     return S.upsert_zips(seen, complete, accepted, RUN_TS)
 
@@ -536,11 +546,11 @@ def document_records_(spark, sf):
     )
 
 
-def _written_run(spark, sf, root, start):
+def _written_run(spark, sf, root, members, start):
     params = RunParams(
         project="x", run_id="r-2", from_year=1995, to_year=2001, run_ts=RUN_TS, dry_run=False
     )
-    store.write_seen(V.seen_in(spark, sf), root, -1)
+    store.write_seen(V.seen_in(spark, sf, members), root, -1)
     store.commit_batch(spark, root, -1, "r-1", RUN_TS, 0)
     start(params)
     return store.read_seen(spark, root)
@@ -549,32 +559,32 @@ def _written_run(spark, sf, root, start):
 @query
 def monitor_run(spark, sf):
     """State after one written run on top of an earlier one."""
-    root = scratch_path(spark, "monitor")
-    return _written_run(spark, sf, root, lambda params: run_monitor(
-        V.docs_in(spark, sf), V.members_in(spark, sf), params, root, 0
+    root, members = scratch_path(spark, "monitor"), written(V.members_in(spark, sf), "members")
+    return _written_run(spark, sf, root, members, lambda params: run_monitor(
+        V.docs_in(spark, sf), members, params, root, 0
     ))
 
 
 @query
 def monitor_stream(spark, sf):
     """The same run, with the files arriving as a stream."""
-    root = scratch_path(spark, "monitor-stream")
+    root, members = scratch_path(spark, "monitor-stream"), written(V.members_in(spark, sf), "members")
     orders = V.table(spark, sf, "orders")
     arriving = pages_src.stream_pages(spark, sf, orders.schema, pathGlobFilter="orders.parquet")
     files = V.docs_base_of(arriving).drop("status", "priority")
 
     def start(params):
         stream_monitor(
-            files, V.members_in(spark, sf), params, root, clock=lambda: RUN_TS
+            files, members, params, root, clock=lambda: RUN_TS
         ).awaitTermination()
 
-    return _written_run(spark, sf, root, start)
+    return _written_run(spark, sf, root, members, start)
 
 
 @query
 def monitor_mixed(spark, sf):
     """Finished orders' files in a batch run, all files then as a stream on the same root."""
-    root = scratch_path(spark, "monitor-mixed")
+    root, members = scratch_path(spark, "monitor-mixed"), written(V.members_in(spark, sf), "members")
     orders = V.table(spark, sf, "orders")
     arriving = pages_src.stream_pages(spark, sf, orders.schema, pathGlobFilter="orders.parquet")
     files = V.docs_base_of(arriving).drop("status", "priority")
@@ -582,38 +592,37 @@ def monitor_mixed(spark, sf):
     def start(params):
         run_monitor(
             V.docs_base_of(orders).where("status = 'F'").drop("status", "priority"),
-            V.members_in(spark, sf), params, root, 0,
+            members, params, root, 0,
         )
         stream_monitor(
-            files, V.members_in(spark, sf), params, root, clock=lambda: RUN_TS
+            files, members, params, root, clock=lambda: RUN_TS
         ).awaitTermination()
 
-    return _written_run(spark, sf, root, start)
+    return _written_run(spark, sf, root, members, start)
 
 
 @query
 def published_after_run(spark, sf):
     """Documents two runs in a row have published: the second adds none."""
-    root = scratch_path(spark, "published")
+    root, members = scratch_path(spark, "published"), written(V.members_in(spark, sf), "members")
 
     def start(params):
         for batch in (0, 1):
-            run_monitor(V.docs_in(spark, sf), V.members_in(spark, sf), params, root, batch)
+            run_monitor(V.docs_in(spark, sf), members, params, root, batch)
 
-    _written_run(spark, sf, root, start)
+    _written_run(spark, sf, root, members, start)
     return published_documents(spark, root).select("batch", "event_data_key", "project_id")
 
 
 # -- from pages to publication ------------------------------------------------------------
 def _site_runs(spark, sf, root, params, batches=(0,)):
     """Runs over the faulty site, on top of an earlier state."""
-    store.write_seen(V.site_seen_in(spark, sf), root, -1)
+    members = written(V.site_members_in(spark, sf), "members")
+    pages = written(V.pages_in(spark, sf, faulty=True), "pages")
+    store.write_seen(V.site_seen_in(spark, sf, members), root, -1)
     store.commit_batch(spark, root, -1, "r-1", RUN_TS, 0)
     for batch in batches:
-        run_site(
-            V.pages_in(spark, sf, faulty=True), V.site_headers_in(spark, sf), V.site_members_in(spark, sf),
-            params, root, batch, V.START_URL,
-        )
+        run_site(pages, V.site_headers_in(spark, sf), members, params, root, batch, V.START_URL)
 
 
 @query
@@ -638,8 +647,8 @@ def site_run_limited(spark, sf):
 def walk_drops(spark, sf):
     """All that a walk over a faulty site loses, with reasons."""
     _, lost = site_files(
-        V.pages_in(spark, sf, faulty=True), V.site_headers_in(spark, sf), V.site_seen_in(spark, sf),
-        V.START_URL, SITE_RUN,
+        written(V.pages_in(spark, sf, faulty=True), "pages"), V.site_headers_in(spark, sf),
+        V.site_seen_in(spark, sf), V.START_URL, SITE_RUN,
     )
     return lost
 
@@ -695,9 +704,9 @@ def project_registry(spark, sf):
 def seen_as_of(spark, sf):
     """The state after each of three runs, read after a compaction."""
     root = scratch_path(spark, "as-of")
-    docs, members = V.docs_in(spark, sf), V.members_in(spark, sf)
+    docs, members = V.docs_in(spark, sf), written(V.members_in(spark, sf), "members")
     params = RunParams(project="x", from_year=1995, to_year=2001, run_ts=RUN_TS, dry_run=False)
-    store.write_seen(V.seen_in(spark, sf), root, -1)
+    store.write_seen(V.seen_in(spark, sf, members), root, -1)
     store.commit_batch(spark, root, -1, "r-1", RUN_TS, 0)
     run_monitor(docs.where("crawl_seq % 4 < 2"), members, replace(params, run_ts=RUN_TS + DAY), root, 0)
     store.compact_seen(spark, root, 4)
@@ -712,10 +721,11 @@ def zip_progress(spark, sf):
     """Archives in the state after each of three limited runs, finished by their progress alone."""
     root = scratch_path(spark, "progress")
     params = RunParams(project="x", from_year=1995, to_year=2001, dry_run=False, upload_limit=LIMIT, run_ts=RUN_TS)
-    store.write_seen(V.seen_in(spark, sf), root, -1)
+    members = written(V.members_in(spark, sf), "members")
+    store.write_seen(V.seen_in(spark, sf, members), root, -1)
     store.commit_batch(spark, root, -1, "r-1", RUN_TS, 0)
     for n in range(3):
-        run_monitor(V.docs_in(spark, sf), V.members_in(spark, sf), replace(params, run_ts=RUN_TS + (n + 1) * DAY), root, n)
+        run_monitor(V.docs_in(spark, sf), members, replace(params, run_ts=RUN_TS + (n + 1) * DAY), root, n)
     return store.read_seen(spark, root).where("kind = 'zips'").select("key", "last_seen")
 
 

@@ -8,7 +8,9 @@ anew in every query, so each query reads them and its time includes that.
 from __future__ import annotations
 
 import io
+import struct
 import zipfile
+import zlib
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -108,20 +110,29 @@ def _member_path() -> Column:
 
 def members_in(spark, sf_dir) -> DataFrame:
     """Archive members: the distinct lines of orders whose file is an archive."""
-    archives = docs_base(spark, sf_dir).where(is_zip(F.col("source_file_url"))).drop("member_path")
-    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", _member_path().alias("member_path"))
-    return lines.distinct().join(archives, F.col("l_orderkey") == F.col("crawl_seq")).select(
+    archives = docs_base_of(table(spark, sf_dir, "orders")).where(is_zip(F.col("source_file_url"))).drop("member_path")
+    return _lines(spark, sf_dir).join(archives, F.col("l_orderkey") == F.col("crawl_seq")).select(
         F.col("source_file_url").alias("zip_url"), "member_path"
-    ).transform(spread, "zip_url", "member_path")
+    )
+
+
+def _lines(spark, sf_dir) -> DataFrame:
+    """Distinct lines of each order, dealt by order: joins on that key need no other shuffle of them."""
+    return table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", _member_path().alias("member_path")).repartition("l_orderkey").distinct()
 
 
-def seen_in(spark, sf_dir) -> DataFrame:
-    """State of an earlier run: finished orders, and the first folder of every archive."""
+def seen_in(spark, sf_dir, members: DataFrame | None = None) -> DataFrame:
+    """State of an earlier run: finished orders, and the first folder of every archive.
+
+    ``members`` are those of ``members_in`` where a query has written them already.
+    """
+    members = members_in(spark, sf_dir) if members is None else members
     docs = docs_base(spark, sf_dir).where("status = 'F'").select(
         F.when(is_zip(F.col("source_file_url")), "zips").otherwise("documents").alias("kind"),
         F.col("source_file_url").alias("key"),
     )
-    members = members_in(spark, sf_dir).where("member_path LIKE 'dossier_1/%'").select(
+    members = members.where("member_path LIKE 'dossier_1/%'").select(
         F.lit("documents").alias("kind"),
         event_key(F.lit(True), F.col("zip_url"), F.col("member_path")).alias("key"),
     )
@@ -310,19 +321,18 @@ def site_members_in(spark, sf_dir) -> DataFrame:
     """Members of the site's archives, by the address these are served from."""
     archives = table(spark, sf_dir, "orders").where("o_orderkey % 3 = 2").select(
         "o_orderkey", _moved(_site_file(F.col("o_orderkey"))).alias("zip_url"))
-    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", _member_path().alias("member_path")).distinct()
-    return lines.join(archives, F.col("l_orderkey") == F.col("o_orderkey")).select("zip_url", "member_path").transform(
-        spread, "zip_url", "member_path")
+    return _lines(spark, sf_dir).join(archives, F.col("l_orderkey") == F.col("o_orderkey")).select("zip_url", "member_path")
 
 
-def site_seen_in(spark, sf_dir) -> DataFrame:
+def site_seen_in(spark, sf_dir, members: DataFrame | None = None) -> DataFrame:
     """What an earlier run knows of the site: linked files, moved files, archives and members."""
+    members = site_members_in(spark, sf_dir) if members is None else members
     link = _site_file(F.col("o_orderkey"))
     kind = lambda url: F.when(is_zip(url), "zips").otherwise("documents").alias("kind")
     orders = table(spark, sf_dir, "orders")
     linked = orders.where("o_orderkey % 31 = 5").select(kind(link), link.alias("key"))
     served = orders.where("o_orderkey % 37 = 6").select(kind(_moved(link)), _moved(link).alias("key"))
-    members = site_members_in(spark, sf_dir).where("member_path LIKE 'dossier_1/%'").select(
+    members = members.where("member_path LIKE 'dossier_1/%'").select(
         F.lit("documents").alias("kind"), event_key(F.lit(True), F.col("zip_url"), F.col("member_path")).alias("key"))
     return linked.unionByName(served).unionByName(members).distinct().select(
         "kind", "key", F.lit("2001-01-01T00:00:00").alias("last_modified"),
@@ -331,6 +341,25 @@ def site_seen_in(spark, sf_dir) -> DataFrame:
 
 # -- archives ---------------------------------------------------------------------
 def _zip_bytes(paths: list) -> bytes:
+    """The archive that ``zipfile`` writes (``_slow_zip_bytes``), put together directly."""
+    if not all(p.isascii() and "\0" not in p for p in paths) or len(paths) > 1000:
+        return _slow_zip_bytes(paths)
+    body, contents, at = [], [], 0
+    for path in paths:
+        name = path.encode()
+        data = b"" if path.endswith("/") else b"x" * len(name)
+        crc, n = zlib.crc32(data), len(data)
+        contents.append(_CONTENTS.pack(b"PK\1\2", 20, 3, 20, 0, 0, 0, 0, 33, crc, n, n, len(name), 0, 0, 0, 0, 0o600 << 16, at) + name)
+        body += (_HEADER.pack(b"PK\3\4", 20, 0, 0, 0, 0, 33, crc, n, n, len(name), 0), name, data)
+        at += _HEADER.size + len(name) + n
+    size = sum(map(len, contents))
+    return b"".join([*body, *contents, _END.pack(b"PK\5\6", 0, 0, len(paths), len(paths), size, at, 0)])
+
+
+_HEADER, _CONTENTS, _END = struct.Struct("<4s2B4HL2L2H"), struct.Struct("<4s4B4HL2L5H2L"), struct.Struct("<4s4H2LH")
+
+
+def _slow_zip_bytes(paths: list) -> bytes:
     body = io.BytesIO()
     with zipfile.ZipFile(body, "w") as archive:
         for path in paths:
@@ -351,11 +380,11 @@ def zip_files(spark, sf_dir) -> DataFrame:
     """
     lines = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", F.expr("l_partkey div 8").alias("block"), _member_path().alias("path")
-    ).distinct()
-    archives = lines.groupBy("l_orderkey", "block").agg(
+    ).repartition("l_orderkey", "block")  # the only shuffle
+    archives = lines.distinct().groupBy("l_orderkey", "block").agg(
         F.sort_array(F.collect_list("path")).alias("paths")
     )
-    return spread(archives, "l_orderkey", "block").select(
+    return archives.select(
         _html(f"{SITE}/zip/", F.col("l_orderkey"), "-", F.col("block"), ".zip").alias("zip_url"),
         make_zip(F.concat(F.array(F.lit("vide/")), F.col("paths"))).alias("content"),
     )
