@@ -18,7 +18,7 @@ import numpy as np
 
 CACHE_WORDS = 500_000
 CACHED_WORD_CHARS = 48
-BATCH_CHARS = 1 << 18
+BATCH_CHARS = 1 << 20  # the more at once, the fewer times a word is looked up
 ROW_WORDS = 64
 INNER_SPACE = re.compile(r"(?<=\S) (?=\S)")
 MARKED = re.compile(r"[\s\x01]")
