@@ -130,6 +130,26 @@ def test_two_families_of_many_chunks(documents, monkeypatch):
     assert len({c for *_, c in want}) < 500
 
 
+def test_a_shared_passage_brings_few_groups_together(documents, monkeypatch):
+    """Its tokens leave the prefixes, those too that come in when others leave."""
+    r = random.Random(12)
+    passage = " ".join(f"p{k}" for k in range(60))
+    rows = [(n, " ".join(f"w{r.randrange(10**9)}" for _ in range(90)) + " " + passage, "en", "s") for n in range(300)]
+    seen, meetings = [], token_groups._meetings
+    monkeypatch.setattr(token_groups, "_meetings", lambda shared, *rest: seen.append(shared) or meetings(shared, *rest))
+    got = token_groups.near_components(documents(rows), 3, 90).collect()
+    assert sorted((x["doc_id"], x["component_id"]) for x in got) == [(n, n) for n in range(300)]
+    assert all(x["count"] < 30 for x in seen[0].groupBy("token").count().collect())
+
+
+def test_rare_words_come_first():
+    bits = {w: 2 for w in (b"the", b"of", b"and")}
+    shingles = token_groups.Shingler(2, bits)
+    rare, likely = shingles("Stone river"), shingles("of the")
+    assert rare < likely and (shingles("and of stone RIVER of the")[0] == rare).all()
+    assert len(shingles("the of the of the of")) == 2
+
+
 def test_bounds_lose_no_pair():
     r = np.random.default_rng(2)
     sets = []
