@@ -22,6 +22,9 @@ BATCH_CHARS = 1 << 18
 ROW_WORDS = 64
 INNER_SPACE = re.compile(r"(?<=\S) (?=\S)")
 MARKED = re.compile(r"[\s\x01]")
+LINE = re.compile(r"(?<=\S)\n(?=\S)")
+TAIL = re.compile(r"[^\W\d_]([.,;:!?*#$%&|<>]{1,4})\Z")
+KNOWN_TAILS = 100_000
 
 
 def batches(rows: Iterable[tuple], text_at: int = -1) -> Iterator[list[tuple]]:
@@ -75,8 +78,28 @@ class LetterEnds(dict):
         return self[c]
 
     def _apart(self, c: str, tail: str) -> bool:
-        text = self.normalizer.normalize_str(c + tail) if self.normalizer else c + tail
-        return self.pre_tokenizer.pre_tokenize_str(text)[-1][0] == tail
+        return self.cut(c + tail)[-1] == tail
+
+    def cut(self, text: str) -> list[str]:
+        text = self.normalizer.normalize_str(text) if self.normalizer else text
+        return [part for part, _ in self.pre_tokenizer.pre_tokenize_str(text)]
+
+
+class Tails(dict):
+    """Ids of the signs that end a word, by the letter before them and themselves, where they
+    are a pre-token of their own behind it, else nothing.  The tokenizer is asked, as above."""
+
+    def __init__(self, tokenizer, ends: LetterEnds, ids):
+        self.ends, self.ids = ends, ids
+        self.special = set().union(*(token.content for token in tokenizer.get_added_tokens_decoder().values()))
+
+    def __missing__(self, key: str) -> bytes:
+        if len(self) > KNOWN_TAILS:
+            self.clear()
+        letter, tail = key[0], key[1:]
+        apart = self.special.isdisjoint(tail) and self.ends[letter] and self.ends.cut(key)[-1] == tail and self.ends.cut(tail) == [tail]
+        self[key] = found = self.ids([tail])[tail] if apart else b""
+        return found
 
 
 class WordEncoder:
@@ -97,8 +120,11 @@ class WordEncoder:
         self.before = "" if self.drops_space else " "
         self.mark = " \x01 " if self.drops_space else "\n"
         (self.mark_id,) = self.tokenizer.encode(self.mark, add_special_tokens=False).ids
-        self.tails = {c: self._ids([c])[c] for c in ".,"}
         self.letter_ends = LetterEnds(self.tokenizer)
+        self.tails = Tails(self.tokenizer, self.letter_ends, self._ids)
+        # a line end between two words is a pre-token of its own, so words may be cut before it
+        self.cuts_lines = not self.drops_space and self.letter_ends.cut("a\n1.\nb") == [
+            "a", *self.letter_ends.cut("\n"), "1", ".", *self.letter_ends.cut("\n"), "b"]
         self.ids, self.spans = Generations(), Generations()
 
     def encode_many(self, texts: list[str]) -> list[bytes]:
@@ -130,7 +156,8 @@ class WordEncoder:
         split = [(t.replace("\n", " ") if self.drops_space else t).split(" ") for t in texts]
         cache.turn()
         found, missing = cache.find(set().union(*split))
-        odd = set() if self.drops_space else {w for w in missing if not w or w[0].isspace() or w[-1].isspace()}
+        odd = set() if self.drops_space else {
+            w for w in missing if not w.isalpha() and (not w or w[0].isspace() or w[-1].isspace())}
         if odd:  # rare: these texts are cut more carefully
             split = [INNER_SPACE.split(t) if not odd.isdisjoint(words) else words
                      for t, words in zip(texts, split)]
@@ -138,18 +165,39 @@ class WordEncoder:
         if missing:
             got = encode(missing, self.before)
             found.update(got)
-            cache.new.update((w, v) for w, v in got.items() if len(w) <= CACHED_WORD_CHARS and (
-                self.drops_space or w and not w[0].isspace() and not w[-1].isspace()))
+            cache.new.update([(w, v) for w, v in got.items() if len(w) <= CACHED_WORD_CHARS and (
+                self.drops_space or w.isalpha() or w and not w[0].isspace() and not w[-1].isspace())])
         return split, found
 
     def _ids_of(self, words: list[str], before: str) -> dict[str, bytes]:
-        """Ids of words."""
-        bare, stems, tails = self._without_tails(words, self.ids)
-        got = {w[len(before):]: ids for w, ids in self._ids([before + w for w in bare], len(before)).items()}
-        for w, stem in tails.items():
-            got[w] = (got.get(stem) or stems[stem]) + self.tails[w[-1]]
+        """Ids of words, and of the parts of which some consist."""
+        bare, cut, stems = [w for w in words if w.isalpha()], {}, {}
+        for w in words:
+            if not w.isalpha():
+                stem, rest = self._parts(w)
+                if rest or stem != w:
+                    cut[w] = stem, rest
+                    stems[stem] = None
+                    continue
+                bare.append(w)
+        known, more = self.ids.find(set(stems).difference(bare))
+        got = self._ids(bare + more, before)
+        lines = self._ids(list({part for _, rest in cut.values() for part in rest if isinstance(part, str)}))
+        end = self.mark_id.to_bytes(4, "little")
+        for w, (stem, rest) in cut.items():
+            ids = got[stem] if stem in got else known[stem]
+            got[w] = ids + b"".join([end + lines[part] if isinstance(part, str) else part for part in rest])
         return got
 
+    def _parts(self, word: str) -> tuple[str, list[str | bytes]]:
+        """A word's stem and what follows it: ids of signs, and words that follow a line end."""
+        stem, *lines = LINE.split(word) if self.cuts_lines and "\n" in word else (word,)
+        rest: list[str | bytes] = []
+        tail = TAIL.search(stem)
+        if tail and (ids := self.tails[tail[0]]):
+            stem, rest = stem[:tail.start(1)], [ids]
+        return stem, rest + lines
+
     def _without_tails(self, words: list[str], cache: Generations) -> tuple[list[str], dict, dict[str, str]]:
         """What to encode, what is known, and words with their stems: a stop or comma behind
         a letter (see ``LetterEnds``) is a pre-token of its own, of one id."""
@@ -158,24 +206,25 @@ class WordEncoder:
         stems, bare = cache.find(set(tails.values()).union(w for w in words if w not in tails))
         return bare, stems, tails
 
-    def _ids(self, words: list[str], at: int = 0) -> dict[str, bytes]:
-        """Words without white space or the mark (but for the ``at`` characters put before
-        them) are encoded in rows, a mark after each: the mark is a pre-token of its own, whose id no
+    def _ids(self, words: list[str], before: str = "") -> dict[str, bytes]:
+        """Words without white space or the mark are encoded in rows, ``before`` in front of
+        and a mark behind each: the mark is a pre-token of its own, whose id no
         such word yields."""
-        plain = [w for w in words if w[1:] and not MARKED.search(w, at)]
+        plain = [w for w in words if w.isalpha() or w and (before or w[1:]) and not MARKED.search(w)]
         rows = [plain[i:i + ROW_WORDS] for i in range(0, len(plain), ROW_WORDS)]
         encoded = self.tokenizer.encode_batch_fast(
-            ["".join([w + self.mark for w in row]) for row in rows], add_special_tokens=False) if rows else []
+            [before + (self.mark + before).join(row) + self.mark for row in rows], add_special_tokens=False) if rows else []
         found = {}
         for row, e in zip(rows, encoded):
             ids = np.array(e.ids, "<u4")
             cuts = (np.flatnonzero(ids == self.mark_id) * 4).tolist()
             if len(cuts) == len(row):
                 raw = ids.tobytes()
-                found.update((w, raw[a:b]) for w, a, b in zip(row, [0, *(c + 4 for c in cuts)], cuts))
-        rest = [w for w in words if w not in found]
-        encoded = self.tokenizer.encode_batch_fast(rest, add_special_tokens=False) if rest else []
-        return found | {w: np.array(e.ids, "<u4").tobytes() for w, e in zip(rest, encoded)}
+                found.update(zip(row, [raw[a:b] for a, b in zip([0, *[c + 4 for c in cuts]], cuts)]))
+        rest = [w for w in words if w not in found] if len(found) < len(words) else []
+        encoded = self.tokenizer.encode_batch_fast([before + w for w in rest], add_special_tokens=False) if rest else []
+        found.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(rest, encoded))
+        return found
 
     def _spans_of(self, words: list[str], before: str) -> dict[str, tuple[int, bytes, bytes]]:
         """Token counts and spans, counted from the start of what is encoded."""

@@ -182,3 +182,17 @@ def test_boundary_rule():
     spans = np.array([[0, 2], [2, 6], [6, 10], [10, 10]])
     n, crossing = token_counts.attribute(spans[:, 0], spans[:, 1], np.array([0, 4, 9]))
     assert n.tolist() == [2, 1, 1] and crossing.tolist() == [1, 1, 0]
+
+
+def test_signs_and_lines_are_no_new_words(monkeypatch):
+    """A known word before signs or a line end isn't encoded again; the ids stay those of the whole text."""
+    path = tokenizer_path("byte_bpe_50k.json")
+    encoder, asked = tokens.WordEncoder(path), []
+    encode = encoder._ids
+    monkeypatch.setattr(encoder, "_ids", lambda words, *a: asked.extend(words) or encode(words, *a))
+    encoder.encode_many(["x querious zobbling"])
+    asked.clear()
+    text = "x querious%%% zobbling.\nThen querious!? zobbling\nquerious"
+    (ids,) = encoder.encode_many([text])
+    assert ids == np.array(encoder.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    assert set(asked) <= {"x", "%%%", "!?", ".", "Then", "querious"} and asked.count("querious") == 1  # behind the line end
