@@ -6,11 +6,12 @@ frequent groups of k words with itself: two occurrences of one piece whose posit
 each other are one occurrence of k + 1 words, found by one merge over the sorted positions.
 Groups are counted in each chunk, the chunks' counts are summed in a shuffle, and what is
 frequent goes back to its chunks as bitmaps, by which the next round semi-joins the relation
-before it extends it.
+before it extends it.  Before groups are counted, the counts of short hashes of them are summed:
+only a group whose hash is frequent can be, so no other's words and places reach a shuffle.
 
 A word is known across chunks by 128 bits of hash of its language and itself, a frequent one by
-64 of them; a seed under which two frequent words share these is not used, so groups of numbers
-are groups of words.
+as few of them as tell the frequent words apart; a seed under which two frequent words share 64
+is not used, so groups of numbers are groups of words.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docmonitor.llm.common import read_table, rows_of_all, small_batches, text_or_empty
@@ -32,10 +33,12 @@ LONGEST = 3
 LEAST = 10
 PART = 50  # percent of a phrase's occurrences within a longer one that make it a part of that
 PER_LANGUAGE = 2000
-CHUNK_WORDS = 2_000_000
+CHUNK_WORDS = 5_000_000
+SUMMED_GROUPS = 1 << 22
 SLICE_BYTES = 1 << 20
 BITMAP_BYTES = 4096  # of Spark's bitmap functions
 BROADCAST_BITMAPS = 1 << 14  # 64 MB; beyond, the chunks are shuffled
+BROADCAST_FLAGS = 1 << 26  # bytes; beyond, the chunks are shuffled
 BROADCAST_WORDS = 1 << 19  # of 16 bytes; beyond, the chunks' words are shuffled
 NO_LANGUAGE = "und"
 GAP = b"."
@@ -126,19 +129,27 @@ def _relation(codes: np.ndarray, frequent: dict[int, np.ndarray], level: int) ->
     ``frequent[k]`` says of each group of k words whether it is frequent.  ``starts`` and
     ``groups`` are the relation of k words: sorted positions, and the group that starts there.
     """
-    starts = np.flatnonzero(frequent[1][codes])
-    groups, first, counts = codes[starts].astype(np.int64), starts[:0], starts[:0]
+    starts = np.flatnonzero(frequent[1][codes]).astype(np.int32)
+    groups, first, counts = codes[starts], starts[:0], starts[:0]
     for k in range(2, level + 1):
-        adjacent = np.flatnonzero(np.diff(starts) == 1)
-        key = groups[adjacent] * (int(groups.max(initial=0)) + 1) + groups[adjacent + 1]
-        starts = starts[adjacent]
+        adjacent = starts[1:] == starts[:-1] + 1
+        key = groups[:-1][adjacent].astype(np.int64)
+        key *= int(groups.max(initial=0)) + 1
+        key += groups[1:][adjacent]
+        starts, groups = starts[:-1][adjacent], groups[:0]
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+        new = np.ones(len(key), bool)
+        np.not_equal(key[1:], key[:-1], out=new[1:])
+        del key
         if k < level:
-            _, groups = np.unique(key, return_inverse=True)
+            groups = np.empty(len(starts), np.int32)
+            groups[order] = np.cumsum(new, dtype=np.int32) - 1
             kept = frequent[k][groups]
             starts, groups = starts[kept], groups[kept]
         else:
-            _, at, counts = np.unique(key, return_index=True, return_counts=True)
-            first = starts[at]
+            at = np.flatnonzero(new)
+            first, counts = starts[order[at]], np.diff(at, append=len(order))
     return first, counts
 
 
@@ -166,28 +177,92 @@ def _count_words(chunks: DataFrame, seed: int, bits: int) -> DataFrame:
     return chunks.select("chunk", "lang", "words", "counts").mapInArrow(run, "chunk long, place long, w1 long, more long, n long")
 
 
-def _count_groups(chunks: DataFrame, bitmaps: DataFrame, level: int, seed: int, bits: int) -> DataFrame:
-    """``chunk, place, w1.., n``: what each chunk counts of its groups of ``level`` words."""
+def _chunk_groups(codes: np.ndarray, marks: list, level: int) -> tuple[np.ndarray, np.ndarray]:
+    flags = {k: _flags(marks, k, len(codes) + 2) for k in range(1, level)}
+    flags = {k: f if k == 1 else f[1:] for k, f in flags.items()}  # a word's place is its code, a group's one more
+    return _relation(codes, flags, level)
+
+
+def _hashes(codes: np.ndarray, ids: np.ndarray, first: np.ndarray, level: int, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes of a chunk's groups, a bucket above 32 bits, and the groups' order by them."""
+    mixed = np.zeros(len(first), np.uint64)
+    for i in range(level):
+        mixed = (mixed ^ ids[codes[first + i]].view(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        mixed ^= mixed >> np.uint64(29)
+    low = mixed & np.uint64(0xFFFFFFFF)
+    mixed >>= np.uint64(32)
+    mixed %= np.uint64(buckets)
+    mixed <<= np.uint64(32)
+    mixed |= low
+    order = np.argsort(mixed)
+    return mixed[order], order
+
+
+def _likely_groups(marked: DataFrame, level: int, seed: int, bits: int, least: int, buckets: int, name: str) -> DataFrame:
+    """``chunk, sure``: flags of a chunk's groups, in their hashes' order, whose hash is frequent.
+
+    A bucket gets a block of sorted hashes and counts from each chunk.
+    """
+    small = np.min_scalar_type(least)
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk, lang, planes, words, marks in rows_of_all(batches):
+            codes, (ids, _) = _codes(planes), word_numbers(lang, words, seed, bits)
+            first, n = _chunk_groups(codes, marks, level)
+            hashes, order = _hashes(codes, ids, first, level, buckets)
+            n = np.minimum(n, least).astype(small)[order]
+            steps = np.diff(hashes.astype(np.uint32), prepend=np.uint32(0))
+            ends = np.searchsorted(hashes, np.arange(buckets + 1, dtype=np.uint64) << np.uint64(32)).tolist()
+            own = [(b, x, y) for b, (x, y) in enumerate(zip(ends, ends[1:])) if y > x]
+            for x in [x for _, x, _ in own]:
+                steps[x] = hashes[x] & np.uint64(0xFFFFFFFF)
+            for at in range(0, len(own), 256):
+                part = own[at:at + 256]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([b for b, _, _ in part], pa.int64()), pa.array([chunk] * len(part), pa.int64()),
+                    pa.array([steps[x:y].view(np.uint8).reshape(-1, 4).T.tobytes() for _, x, y in part], pa.binary()),
+                    pa.array([n[x:y].tobytes() for _, x, y in part], pa.binary())], names=["bucket", "chunk", "hashes", "counts"])
+
+    def meet(blocks: pa.Table) -> pa.Table:
+        hashes = [np.cumsum(_codes(b).view(np.uint32), dtype=np.uint32) for b in blocks["hashes"].to_pylist()]
+        counts = np.concatenate([np.frombuffer(c, small) for c in blocks["counts"].to_pylist()])
+        _, of = np.unique(np.concatenate(hashes), return_inverse=True)
+        flags = (np.bincount(of, counts) >= least)[of]
+        parts = np.split(flags, np.cumsum([len(h) for h in hashes])[:-1])
+        return pa.table({"chunk": blocks["chunk"], "bucket": blocks["bucket"], "n": pa.array([len(p) for p in parts], pa.int64()),
+                         "flags": pa.array([np.packbits(p).tobytes() for p in parts], pa.binary())})
+
+    blocks = marked.mapInArrow(send, "bucket long, chunk long, hashes binary, counts binary")
+    flags = materialise(blocks.groupBy("bucket").applyInArrow(meet, "chunk long, bucket long, n long, flags binary"), name)
+    sure = flags.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "n", "flags")).alias("sure"))  # of one chunk: bounded
+    size = flags.agg(F.sum(F.octet_length("flags") + 24)).first()[0] or 0
+    return F.broadcast(sure) if size <= BROADCAST_FLAGS else sure
+
+
+def _count_groups(chunks: DataFrame, bitmaps: DataFrame, level: int, seed: int, bits: int, least: int, buckets: int) -> DataFrame:
+    """``chunk, place, w1.., n``: what each chunk counts of its groups of ``level`` words that may be frequent."""
     names = _words(1, level + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk, lang, planes, words, marks in rows_of_all(batches):
+        for chunk, lang, planes, words, marks, sure in rows_of_all(batches):
             codes, (ids, _) = _codes(planes), word_numbers(lang, words, seed, bits)
-            flags = {k: _flags(marks, k, len(codes) + 2) for k in range(1, level)}
-            flags = {k: f if k == 1 else f[1:] for k, f in flags.items()}  # a word's place is its code, a group's one more
-            first, n = _relation(codes, flags, level)
-            for at in range(0, len(first), 1 << 18):
-                part = first[at:at + (1 << 18)]
+            first, n = _chunk_groups(codes, marks, level)
+            _, order = _hashes(codes, ids, first, level, buckets)
+            flags = [np.unpackbits(np.frombuffer(s["flags"], np.uint8), count=s["n"]) for s in sorted(sure, key=lambda s: s["bucket"])]
+            kept = np.sort(order[np.concatenate(flags).view(bool)])
+            for at in range(0, len(kept), 1 << 18):
+                part = kept[at:at + (1 << 18)]
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(np.full(len(part), chunk)), pa.array(np.arange(at + 1, at + 1 + len(part))),
-                    *(pa.array(ids[codes[part + i]]) for i in range(level)), pa.array(n[at:at + len(part)].astype(np.int64)),
-                ], names=["chunk", "place", *names, "n"])
+                    pa.array(np.full(len(part), chunk)), pa.array(part + 1), *(pa.array(ids[codes[first[part] + i]]) for i in range(level)),
+                    pa.array(n[part].astype(np.int64))], names=["chunk", "place", *names, "n"])
 
     marks = bitmaps.groupBy("chunk").agg(F.collect_list(F.struct("level", "bucket", "bits")).alias("marks"))  # of one chunk: bounded
     if bitmaps.count() <= BROADCAST_BITMAPS:
         marks = F.broadcast(marks)
+    marked = chunks.join(marks, "chunk").select("chunk", "lang", "codes", "words", "marks")
+    sure = _likely_groups(marked, level, seed, bits, least, buckets, f"likely-{level}")
     ddl = "chunk long, place long, " + ", ".join(f"{w} long" for w in names) + ", n long"
-    return chunks.join(marks, "chunk").select("chunk", "lang", "codes", "words", "marks").mapInArrow(run, ddl)
+    return marked.join(sure, "chunk").select(*marked.columns, "sure").mapInArrow(run, ddl)
 
 
 def _frequent(counted: DataFrame, keys: list[str], least: int, name: str) -> tuple[DataFrame, DataFrame]:
@@ -210,26 +285,41 @@ def _words(i: int, j: int) -> list[str]:
     return [f"w{k}" for k in range(i, j)]
 
 
+def _low(bits: int) -> Column:
+    """The lowest bits of a frequent word's number."""
+    return F.col("w1").bitwiseAND(F.lit((1 << bits) - 1 if bits < 64 else -1).cast("long")).alias("w1")
+
+
+def enough_bits(named: DataFrame, bits: int) -> int:
+    """How many low bits of ``w1`` tell all words apart, not much more than needed; 0 if ``bits`` don't."""
+    few = min(bits, 2 * named.count().bit_length() + 4)  # of random numbers two agree once in 32 times
+    while not named.select(_low(few)).groupBy("w1").count().where("count > 1").isEmpty():
+        if few == bits:
+            return 0
+        few = min(bits, few + 6)
+    return few
+
+
 def frequent_groups(chunks: DataFrame, longest: int = LONGEST, least: int = LEAST,
-                    bits: int = 64) -> tuple[dict[int, DataFrame], int]:
-    """Frequent groups of each length (``w1.., a, chunk``: one they are in), and the seed of the words' numbers.
+                    bits: int = 64) -> tuple[dict[int, DataFrame], int, int]:
+    """Frequent groups of each length (``w1.., a, chunk``: one they are in), and the seed and bits of the words' numbers.
 
     A word pair of a third of all texts reaches the shuffle once a chunk.  Words are
-    counted by 128 bits of hash; after that the first ``bits`` (fewer in tests) stand for
-    the frequent ones, if no two of them share these.
+    counted by 128 bits of hash; after that as few of the first ``bits`` (fewer in tests) as
+    no two of them share stand for the frequent ones, as random bits don't compress in a shuffle.
     """
-    seed = 0
-    while True:
+    seed = few = 0
+    while not few:
         bitmaps, named = _frequent(_count_words(chunks, seed, bits), ["w1", "more"], least, "words")
-        if named.groupBy("w1").count().where("count > 1").isEmpty():
-            break
-        seed += 1
-    groups = {1: named}
+        few = enough_bits(named, bits)
+        seed += not few
+    buckets = 1 + (chunks.agg(F.sum("n")).first()[0] or 0) // SUMMED_GROUPS
+    bits, groups = few, {1: named.select(_low(few), "more", "a", "chunk")}
     for level in range(2, longest + 1):
-        counted = _count_groups(chunks, bitmaps, level, seed, bits)
+        counted = _count_groups(chunks, bitmaps, level, seed, bits, least, buckets)
         more, groups[level] = _frequent(counted, _words(1, level + 1), least, f"groups-{level}")
         bitmaps = bitmaps.unionByName(more)
-    return groups, seed
+    return groups, seed, bits
 
 
 def _names(chunks: DataFrame, wanted: DataFrame, seed: int, bits: int) -> DataFrame:
@@ -287,7 +377,7 @@ def collocations(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, pa
     """
     chunks = occurrences(docs, chunk_words)
     totals = chunks.groupBy("lang").agg(F.sum("n").alias("n"))
-    groups, seed = frequent_groups(chunks, longest, least, bits)
+    groups, seed, bits = frequent_groups(chunks, longest, least, bits)
     words = _words(1, longest + 1)
     scored = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), [
         _without_parts(_scored(groups, m), groups, m, part) for m in range(2, longest + 1)])

@@ -88,3 +88,35 @@ def test_long_texts_are_read_in_slices(documents, monkeypatch):
 def test_phrases_of_nothing(documents):
     assert mined(documents([])) == set()
     assert mined(documents([(1, None, None, None), (2, "", "en", "s"), (3, " .,\n", "en", "s")])) == set()
+
+
+def test_few_bits_tell_frequent_words_apart(spark):
+    named = spark.createDataFrame([(i << 40 | i, 0, 10, 0) for i in range(-20, 20)], "w1 long, more long, a long, chunk long")
+    assert phrases.enough_bits(named, 64) == 16  # 40 words
+    high = spark.createDataFrame([(i << 40 | 5, 0, 10, 0) for i in range(40)], "w1 long, more long, a long, chunk long")
+    assert phrases.enough_bits(high, 64) == 46 and phrases.enough_bits(high, 30) == 0
+
+
+def test_numbers_of_groups_are_short(documents, texts):
+    groups, _, bits = phrases.frequent_groups(phrases.occurrences(documents(texts)))
+    words = [r.w1 for r in groups[1].collect()]
+    assert len(words) == len(set(words)) and bits < 30 and max(words) < 1 << bits
+    assert {w for r in groups[2].collect() for w in (r.w1, r.w2)} <= set(words)
+
+
+def test_rare_groups_stay_with_their_chunks(documents, texts, monkeypatch):
+    """What reaches the shuffle of groups has a frequent hash: nearly nothing else, from chunks that all have little."""
+    counted, kept = phrases._count_groups, []
+
+    def count(*args):
+        kept.append(counted(*args))
+        return kept[-1]
+
+    monkeypatch.setattr(phrases, "_count_groups", count)
+    monkeypatch.setattr(phrases, "SUMMED_GROUPS", 500)  # several buckets
+    assert mined(documents(texts), chunk_words=200) == by_hand(texts)
+    for rows in kept:
+        totals = Counter()
+        for *_, words, n in [(tuple(r)[2:-1], r.n) for r in rows.collect()]:
+            totals[words] += n
+        assert totals and min(totals.values()) >= 10
