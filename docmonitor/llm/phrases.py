@@ -33,7 +33,7 @@ LONGEST = 3
 LEAST = 10
 PART = 50  # percent of a phrase's occurrences within a longer one that make it a part of that
 PER_LANGUAGE = 2000
-CHUNK_WORDS = 5_000_000
+CHUNK_WORDS = 4_000_000
 SUMMED_GROUPS = 1 << 22
 SLICE_BYTES = 1 << 20
 BITMAP_BYTES = 4096  # of Spark's bitmap functions
@@ -78,6 +78,13 @@ class Chunk:
 CHUNK = {"chunk": "long", "lang": "string", "codes": "binary", "words": "binary", "counts": "binary", "n": "long"}
 
 
+def _one_by_one(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """Rows of chunks; only one is held outside Arrow's memory."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield tuple(column[i].as_py() for column in batch.columns)
+
+
 def _codes(planes: bytes) -> np.ndarray:
     return np.frombuffer(planes, np.uint8).reshape(4, -1).T.copy().view(np.int32).ravel()
 
@@ -206,7 +213,7 @@ def _likely_groups(marked: DataFrame, level: int, seed: int, bits: int, least: i
     small = np.min_scalar_type(least)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk, lang, planes, words, marks in rows_of_all(batches):
+        for chunk, lang, planes, words, marks in _one_by_one(batches):
             codes, (ids, _) = _codes(planes), word_numbers(lang, words, seed, bits)
             first, n = _chunk_groups(codes, marks, level)
             hashes, order = _hashes(codes, ids, first, level, buckets)
@@ -244,7 +251,7 @@ def _count_groups(chunks: DataFrame, bitmaps: DataFrame, level: int, seed: int,
     names = _words(1, level + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk, lang, planes, words, marks, sure in rows_of_all(batches):
+        for chunk, lang, planes, words, marks, sure in _one_by_one(batches):
             codes, (ids, _) = _codes(planes), word_numbers(lang, words, seed, bits)
             first, n = _chunk_groups(codes, marks, level)
             _, order = _hashes(codes, ids, first, level, buckets)
