@@ -5,13 +5,18 @@ sorted by piece and position, with a gap between pieces.  A round joins the rela
 frequent groups of k words with itself: two occurrences of one piece whose positions follow
 each other are one occurrence of k + 1 words, found by one merge over the sorted positions.
 Groups are counted in each chunk, the chunks' counts are summed in a shuffle, and what is
-frequent goes back to its chunks as bitmaps, by which the next round semi-joins the relation
-before it extends it.  Before groups are counted, the counts of short hashes of them are summed:
-only a group whose hash is frequent can be, so no other's words and places reach a shuffle.
-
-A word is known across chunks by 128 bits of hash of its language and itself, a frequent one by
-as few of them as tell the frequent words apart; a seed under which two frequent words share 64
-is not used, so groups of numbers are groups of words.
+frequent goes back to its chunks, by which the next round semi-joins the relation before it
+extends it.
+
+Frequent groups of a length are numbered without large gaps, and a group of k + 1 words is the
+pair of the numbers of its first and last k words.  So a chunk's groups are a sorted list of
+short numbers, which is sent as steps from one to the next, a block for each bucket of groups.
+A bucket sums its blocks and answers each with the numbers of what is frequent in it; the first
+chunk that has a frequent group is told its count, too, and is the one that makes a row of it.
+
+A word is known across chunks by 128 bits of hash of its language and itself, in rows a frequent
+one by as few of them as tell the frequent words apart; a seed under which two frequent words
+share 64 is not used, so groups of numbers are groups of words.
 """
 
 from __future__ import annotations
@@ -36,9 +41,8 @@ PER_LANGUAGE = 2000
 CHUNK_WORDS = 4_000_000
 SUMMED_GROUPS = 1 << 22
 SLICE_BYTES = 1 << 20
-BITMAP_BYTES = 4096  # of Spark's bitmap functions
-BROADCAST_BITMAPS = 1 << 14  # 64 MB; beyond, the chunks are shuffled
-BROADCAST_FLAGS = 1 << 26  # bytes; beyond, the chunks are shuffled
+BROADCAST_ANSWERS = 1 << 26  # bytes; beyond, the chunks are shuffled
+MOST_BITS = 32  # of a frequent group's number, as two are a group of one more word
 BROADCAST_WORDS = 1 << 19  # of 16 bytes; beyond, the chunks' words are shuffled
 NO_LANGUAGE = "und"
 GAP = b"."
@@ -127,165 +131,222 @@ def occurrences(docs: DataFrame, chunk_words: int = CHUNK_WORDS) -> DataFrame:
 
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit(NO_LANGUAGE)).alias("lang"),
                         text_or_empty().cast("binary").alias("text"))
-    return materialise(texts.mapInArrow(run, ", ".join(f"{c} {t}" for c, t in CHUNK.items())), "occurrences")
+    return materialise(texts.mapInArrow(run, _ddl(CHUNK)), "occurrences", compression="zstd")
 
 
-def _relation(codes: np.ndarray, frequent: dict[int, np.ndarray], level: int) -> tuple[np.ndarray, np.ndarray]:
-    """First places and counts of a chunk's groups of ``level`` words, in the groups' order.
+def _packed(values: np.ndarray) -> bytes:
+    """Numbers with their high bytes together, as most are zero."""
+    return pa.compress(values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes(), "zstd", asbytes=True)
 
-    ``frequent[k]`` says of each group of k words whether it is frequent.  ``starts`` and
-    ``groups`` are the relation of k words: sorted positions, and the group that starts there.
-    """
-    starts = np.flatnonzero(frequent[1][codes]).astype(np.int32)
-    groups, first, counts = codes[starts], starts[:0], starts[:0]
-    for k in range(2, level + 1):
-        adjacent = starts[1:] == starts[:-1] + 1
-        key = groups[:-1][adjacent].astype(np.int64)
-        key *= int(groups.max(initial=0)) + 1
-        key += groups[1:][adjacent]
-        starts, groups = starts[:-1][adjacent], groups[:0]
-        order = np.argsort(key, kind="stable")
-        key = key[order]
-        new = np.ones(len(key), bool)
-        np.not_equal(key[1:], key[:-1], out=new[1:])
-        del key
-        if k < level:
-            groups = np.empty(len(starts), np.int32)
-            groups[order] = np.cumsum(new, dtype=np.int32) - 1
-            kept = frequent[k][groups]
-            starts, groups = starts[kept], groups[kept]
+
+def _unpacked(data: bytes, kind: type, n: int) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.frombuffer(pa.decompress(data, n * size, "zstd", asbytes=True), np.uint8).reshape(size, n).T.copy().view(kind).ravel()
+
+
+def _dealt(keys: np.ndarray, more: np.ndarray, buckets: int) -> tuple[np.ndarray, list[int]]:
+    """The order of a chunk's groups by bucket, key and 64 more bits, and where each bucket ends in it, from 0."""
+    mixed = keys * np.uint64(0x9E3779B97F4A7C15)
+    mixed ^= mixed >> np.uint64(29)
+    mixed *= np.uint64(0xBF58476D1CE4E5B9)
+    mixed >>= np.uint64(32)
+    bucket = (mixed % np.uint64(buckets)).astype(np.min_scalar_type(buckets))
+    ends = np.cumsum(np.bincount(bucket, minlength=buckets))
+    return np.lexsort((more, keys, bucket)), [0, *ends.tolist()]
+
+
+def _blocks(chunk: int, keys: np.ndarray, more: np.ndarray, counts: np.ndarray, ends: list[int]) -> Iterator[pa.RecordBatch]:
+    """A chunk's dealt groups, a row a bucket (``BLOCK``); groups of several words have no ``more``."""
+    own = [(b, x, y) for b, (x, y) in enumerate(zip(ends, ends[1:])) if y > x]
+    for at in range(0, len(own), 256):
+        part = own[at:at + 256]
+        yield pa.RecordBatch.from_arrays([
+            pa.array([b for b, _, _ in part], pa.int64()), pa.array([chunk] * len(part), pa.int64()),
+            pa.array([y - x for _, x, y in part], pa.int64()),
+            pa.array([_packed(np.diff(keys[x:y], prepend=np.uint64(0))) for _, x, y in part], pa.binary()),
+            pa.array([_packed(more[x:y]) if len(more) else None for _, x, y in part], pa.binary()),
+            pa.array([_packed(counts[x:y].astype(np.uint32)) for _, x, y in part], pa.binary())], names=list(BLOCK))
+
+
+def _ddl(columns: dict[str, str]) -> str:
+    return ", ".join(f"{c} {t}" for c, t in columns.items())
+
+
+BLOCK = {"bucket": "long", "chunk": "long", "size": "long", "keys": "binary", "more": "binary", "counts": "binary"}
+ANSWER = {"bucket": "long", "chunk": "long", "size": "long", "flags": "binary", "numbers": "binary", "counts": "binary", "found": "long"}
+
+
+def _answers(blocks: DataFrame, least: int, buckets: int, name: str) -> DataFrame:
+    """What of each block is frequent (``ANSWER``): ``flags`` of its groups, and of the flagged ones the ``numbers``
+    in their bucket, and ``counts`` over all chunks in the first chunk, 0 in others; ``found`` in the whole bucket."""
+
+    def meet(blocks: pa.Table) -> pa.Table:
+        blocks = blocks.sort_by("chunk")
+        sizes = blocks["size"].to_pylist()
+        keys = np.concatenate([np.cumsum(_unpacked(b, np.uint64, n), dtype=np.uint64) for b, n in zip(blocks["keys"].to_pylist(), sizes)])
+        counts = np.concatenate([_unpacked(b, np.uint32, n) for b, n in zip(blocks["counts"].to_pylist(), sizes)])
+        if blocks["more"].null_count:
+            order = np.argsort(keys, kind="stable")  # a group's first chunk first
+            new = np.diff(keys[order], prepend=~keys[order[:1]]) != 0
         else:
-            at = np.flatnonzero(new)
-            first, counts = starts[order[at]], np.diff(at, append=len(order))
-    return first, counts
+            more = np.concatenate([_unpacked(b, np.uint64, n) for b, n in zip(blocks["more"].to_pylist(), sizes)])
+            order = np.lexsort((more, keys))
+            new = (np.diff(keys[order], prepend=~keys[order[:1]]) != 0) | (np.diff(more[order], prepend=np.uint64(0)) != 0)
+        at = np.flatnonzero(new)
+        sums = np.add.reduceat(counts[order], at, dtype=np.int64)
+        frequent = sums >= least
+        numbers, firsts = np.zeros(len(keys), np.uint32), np.zeros(len(keys), np.int64)
+        numbers[order] = np.where(frequent, np.cumsum(frequent), 0).astype(np.uint32)[np.cumsum(new) - 1]
+        firsts[order[at[frequent]]] = sums[frequent]
+        ends = np.cumsum(sizes)[:-1]
+        parts = [(x, x > 0, y) for x, y in zip(np.split(numbers, ends), np.split(firsts, ends))]
+        return pa.table([blocks["bucket"], blocks["chunk"], blocks["size"],
+                         pa.array([np.packbits(kept).tobytes() for _, kept, _ in parts], pa.binary()),
+                         pa.array([_packed(np.diff(x[kept], prepend=np.uint32(0))) for x, kept, _ in parts], pa.binary()),
+                         pa.array([_packed(y[kept]) for _, kept, y in parts], pa.binary()),
+                         pa.array(np.full(len(sizes), frequent.sum()))], names=list(ANSWER))
+
+    answers = materialise(blocks.groupBy("bucket").applyInArrow(meet, _ddl(ANSWER)), name)
+    most = answers.agg(F.max((F.col("found") - 1) * buckets + F.col("bucket"))).first()[0] or 0
+    if most >> MOST_BITS:
+        raise ValueError(f"a frequent group would have number {most}, more than {MOST_BITS} bits")
+    return answers
+
+
+def _flags(answer: dict) -> np.ndarray:
+    return np.unpackbits(np.frombuffer(answer["flags"], np.uint8), count=answer["size"]).view(bool)
+
+
+def _of_level(answers: list, level: int) -> list:
+    return sorted((a for a in answers if a["level"] == level), key=lambda a: a["bucket"])
+
+
+def _numbers(answers: list, level: int, buckets: int) -> np.ndarray:
+    """Everywhere valid numbers of a chunk's groups of ``level`` words, as dealt; -1: not frequent."""
+    parts = [np.zeros(0, np.int64)]
+    for answer in _of_level(answers, level):
+        kept = _flags(answer)
+        parts.append(np.full(len(kept), -1, np.int64))
+        own = np.cumsum(_unpacked(answer["values"], np.uint32, np.count_nonzero(kept)), dtype=np.int64)  # from 1
+        parts[-1][kept] = (own - 1) * buckets + answer["bucket"]
+    return np.concatenate(parts)
+
+
+def _firsts(answers: list, level: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which of a chunk's groups as dealt are frequent and in no chunk before, and their counts."""
+    parts, at = [(np.zeros(0, np.int64), np.zeros(0, np.int64))], 0
+    for answer in _of_level(answers, level):
+        kept = np.flatnonzero(_flags(answer))
+        counts = _unpacked(answer["values"], np.int64, len(kept))
+        parts.append((at + kept[counts > 0], counts[counts > 0]))
+        at += answer["size"]
+    return tuple(np.concatenate(x) for x in zip(*parts))
+
+
+def _beside(chunks: DataFrame, answers: dict[int, DataFrame], last: str, *columns: str) -> DataFrame:
+    """Columns of the chunks beside the answers to their blocks: numbers, of the longest groups ``last`` instead."""
+    rows = reduce(DataFrame.unionByName, [a.select("chunk", F.struct(
+        F.lit(level).alias("level"), "bucket", "size", "flags", F.col(last if level == max(answers) else "numbers").alias("values")).alias("answer"))
+        for level, a in answers.items()])
+    size = rows.agg(F.sum(F.octet_length("answer.flags") + F.octet_length("answer.values") + 48)).first()[0] or 0
+    own = rows.groupBy("chunk").agg(F.collect_list("answer").alias("answers"))  # of one chunk: bounded
+    return chunks.join(F.broadcast(own) if size <= BROADCAST_ANSWERS else own, "chunk").select("chunk", "lang", *columns, "words", "answers")
+
+
+def _hashes(lang: str, words: bytes, seed: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of a chunk's words, without the gap, and the bits they are dealt by."""
+    ids, more = word_numbers(lang, words, seed, bits)
+    return ids[1:].view(np.uint64), more[1:].view(np.uint64)
+
+
+def _sum_words(chunks: DataFrame, seed: int, bits: int, least: int, buckets: int) -> DataFrame:
+    """Answers to all chunks' words."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk, lang, words, counts in _one_by_one(batches):
+            ids, more = _hashes(lang, words, seed, bits)
+            order, ends = _dealt(more, ids, buckets)
+            yield from _blocks(chunk, more[order], ids[order], np.frombuffer(counts, np.int32)[1:][order], ends)
 
-def _flags(marks: list, level: int, least: int) -> np.ndarray:
-    """A level's bitmaps as flags by place (from 1), at least so many."""
-    found = {m["bucket"]: m["bits"] for m in marks if m["level"] == level}
-    flags = np.zeros(max(max(found, default=0) * BITMAP_BYTES * 8 + 1, least), bool)
-    for bucket, bits in found.items():  # buckets count from 1, too
-        at = (bucket - 1) * BITMAP_BYTES * 8 + 1
-        flags[at:at + BITMAP_BYTES * 8] = np.unpackbits(np.frombuffer(bits, np.uint8), bitorder="little")
-    return flags
+    return _answers(chunks.select("chunk", "lang", "words", "counts").mapInArrow(run, _ddl(BLOCK)), least, buckets, "sums-1")
 
 
-def _count_words(chunks: DataFrame, seed: int, bits: int) -> DataFrame:
-    """``chunk, place, w1, more, n``: each chunk's words, by 64 and 64 more bits."""
+def _count_words(chunks: DataFrame, answers: dict[int, DataFrame], seed: int, bits: int, buckets: int) -> DataFrame:
+    """``w1, more, a, chunk``: each frequent word once, by 64 and 64 more bits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk, lang, words, counts in rows_of_all(batches):
-            ids, more = word_numbers(lang, words, seed, bits)
-            n = np.frombuffer(counts, np.int32)
+        for chunk, lang, words, own in _one_by_one(batches):
+            ids, more = _hashes(lang, words, seed, bits)
+            at, a = _firsts(own, 1)
+            at = _dealt(more, ids, buckets)[0][at]
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in (
-                np.full(len(n) - 1, chunk), np.arange(1, len(n)), ids[1:], more[1:], n[1:].astype(np.int64))],
-                names=["chunk", "place", "w1", "more", "n"])
+                ids[at].view(np.int64), more[at].view(np.int64), a, np.full(len(at), chunk))], names=["w1", "more", "a", "chunk"])
 
-    return chunks.select("chunk", "lang", "words", "counts").mapInArrow(run, "chunk long, place long, w1 long, more long, n long")
+    return _beside(chunks, answers, "counts").mapInArrow(run, "w1 long, more long, a long, chunk long")
 
 
-def _chunk_groups(codes: np.ndarray, marks: list, level: int) -> tuple[np.ndarray, np.ndarray]:
-    flags = {k: _flags(marks, k, len(codes) + 2) for k in range(1, level)}
-    flags = {k: f if k == 1 else f[1:] for k, f in flags.items()}  # a word's place is its code, a group's one more
-    return _relation(codes, flags, level)
+def _chunk_groups(codes: np.ndarray, ids: np.ndarray, more: np.ndarray, answers: list, level: int,
+                  buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[int]]:
+    """Keys, counts and a place each of a chunk's groups of ``level`` words, as dealt, and the buckets' ends.
 
+    ``starts`` and ``numbers`` are the relation of k words: sorted positions, and the frequent
+    group that starts there.
+    """
+    of_words = np.full(len(ids) + 1, -1, np.int64)  # the gap is 0
+    of_words[1 + _dealt(more, ids, buckets)[0]] = _numbers(answers, 1, buckets)
+    numbers = of_words[codes]
+    starts = np.flatnonzero(numbers >= 0).astype(np.int32)
+    numbers = numbers[starts]
+    for k in range(2, level + 1):
+        adjacent = starts[1:] == starts[:-1] + 1
+        keys = numbers[:-1][adjacent].view(np.uint64) << np.uint64(MOST_BITS)
+        keys |= numbers[1:][adjacent].view(np.uint64)
+        starts = starts[:-1][adjacent]
+        order = np.argsort(keys)
+        keys = keys[order]
+        new = np.ones(len(keys), bool)
+        np.not_equal(keys[1:], keys[:-1], out=new[1:])
+        at = np.flatnonzero(new)
+        keys = keys[at]
+        dealt, ends = _dealt(keys, np.zeros(len(keys), np.uint64), buckets)
+        if k < level:
+            found, numbers = np.empty(len(keys), np.int64), np.empty(len(starts), np.int64)
+            found[dealt] = _numbers(answers, k, buckets)
+            numbers[order] = found[np.cumsum(new) - 1]
+            kept = numbers >= 0
+            starts, numbers = starts[kept], numbers[kept]
+    return keys[dealt], np.diff(at, append=len(order))[dealt], starts[order[at]][dealt], ends
 
-def _hashes(codes: np.ndarray, ids: np.ndarray, first: np.ndarray, level: int, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted hashes of a chunk's groups, a bucket above 32 bits, and the groups' order by them."""
-    mixed = np.zeros(len(first), np.uint64)
-    for i in range(level):
-        mixed = (mixed ^ ids[codes[first + i]].view(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
-        mixed ^= mixed >> np.uint64(29)
-    low = mixed & np.uint64(0xFFFFFFFF)
-    mixed >>= np.uint64(32)
-    mixed %= np.uint64(buckets)
-    mixed <<= np.uint64(32)
-    mixed |= low
-    order = np.argsort(mixed)
-    return mixed[order], order
 
+def _sum_groups(chunks: DataFrame, answers: dict[int, DataFrame], level: int, seed: int, bits: int, least: int, buckets: int) -> DataFrame:
+    """Answers to all chunks' groups of ``level`` words, after those to shorter ones."""
 
-def _likely_groups(marked: DataFrame, level: int, seed: int, bits: int, least: int, buckets: int, name: str) -> DataFrame:
-    """``chunk, sure``: flags of a chunk's groups, in their hashes' order, whose hash is frequent.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk, lang, planes, words, own in _one_by_one(batches):
+            keys, counts, _, ends = _chunk_groups(_codes(planes), *_hashes(lang, words, seed, bits), own, level, buckets)
+            yield from _blocks(chunk, keys, keys[:0], counts, ends)
 
-    A bucket gets a block of sorted hashes and counts from each chunk.
-    """
-    small = np.min_scalar_type(least)
-
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk, lang, planes, words, marks in _one_by_one(batches):
-            codes, (ids, _) = _codes(planes), word_numbers(lang, words, seed, bits)
-            first, n = _chunk_groups(codes, marks, level)
-            hashes, order = _hashes(codes, ids, first, level, buckets)
-            n = np.minimum(n, least).astype(small)[order]
-            steps = np.diff(hashes.astype(np.uint32), prepend=np.uint32(0))
-            ends = np.searchsorted(hashes, np.arange(buckets + 1, dtype=np.uint64) << np.uint64(32)).tolist()
-            own = [(b, x, y) for b, (x, y) in enumerate(zip(ends, ends[1:])) if y > x]
-            for x in [x for _, x, _ in own]:
-                steps[x] = hashes[x] & np.uint64(0xFFFFFFFF)
-            for at in range(0, len(own), 256):
-                part = own[at:at + 256]
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([b for b, _, _ in part], pa.int64()), pa.array([chunk] * len(part), pa.int64()),
-                    pa.array([steps[x:y].view(np.uint8).reshape(-1, 4).T.tobytes() for _, x, y in part], pa.binary()),
-                    pa.array([n[x:y].tobytes() for _, x, y in part], pa.binary())], names=["bucket", "chunk", "hashes", "counts"])
+    return _answers(_beside(chunks, answers, "numbers", "codes").mapInArrow(run, _ddl(BLOCK)), least, buckets, f"sums-{level}")
 
-    def meet(blocks: pa.Table) -> pa.Table:
-        hashes = [np.cumsum(_codes(b).view(np.uint32), dtype=np.uint32) for b in blocks["hashes"].to_pylist()]
-        counts = np.concatenate([np.frombuffer(c, small) for c in blocks["counts"].to_pylist()])
-        _, of = np.unique(np.concatenate(hashes), return_inverse=True)
-        flags = (np.bincount(of, counts) >= least)[of]
-        parts = np.split(flags, np.cumsum([len(h) for h in hashes])[:-1])
-        return pa.table({"chunk": blocks["chunk"], "bucket": blocks["bucket"], "n": pa.array([len(p) for p in parts], pa.int64()),
-                         "flags": pa.array([np.packbits(p).tobytes() for p in parts], pa.binary())})
-
-    blocks = marked.mapInArrow(send, "bucket long, chunk long, hashes binary, counts binary")
-    flags = materialise(blocks.groupBy("bucket").applyInArrow(meet, "chunk long, bucket long, n long, flags binary"), name)
-    sure = flags.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "n", "flags")).alias("sure"))  # of one chunk: bounded
-    size = flags.agg(F.sum(F.octet_length("flags") + 24)).first()[0] or 0
-    return F.broadcast(sure) if size <= BROADCAST_FLAGS else sure
-
-
-def _count_groups(chunks: DataFrame, bitmaps: DataFrame, level: int, seed: int, bits: int, least: int, buckets: int) -> DataFrame:
-    """``chunk, place, w1.., n``: what each chunk counts of its groups of ``level`` words that may be frequent."""
+
+def _count_groups(chunks: DataFrame, answers: dict[int, DataFrame], level: int, seed: int, bits: int, few: int, buckets: int) -> DataFrame:
+    """``chunk, place, w1.., n``: each frequent group of ``level`` words once, at a place of its first chunk."""
     names = _words(1, level + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk, lang, planes, words, marks, sure in _one_by_one(batches):
-            codes, (ids, _) = _codes(planes), word_numbers(lang, words, seed, bits)
-            first, n = _chunk_groups(codes, marks, level)
-            _, order = _hashes(codes, ids, first, level, buckets)
-            flags = [np.unpackbits(np.frombuffer(s["flags"], np.uint8), count=s["n"]) for s in sorted(sure, key=lambda s: s["bucket"])]
-            kept = np.sort(order[np.concatenate(flags).view(bool)])
-            for at in range(0, len(kept), 1 << 18):
-                part = kept[at:at + (1 << 18)]
+        for chunk, lang, planes, words, own in _one_by_one(batches):
+            codes, (ids, more) = _codes(planes), _hashes(lang, words, seed, bits)
+            places = _chunk_groups(codes, ids, more, own, level, buckets)[2]
+            at, n = _firsts(own, level)
+            ids = (ids & np.uint64((1 << few) - 1)).view(np.int64)
+            for x in range(0, len(at), 1 << 18):
+                part = places[at[x:x + (1 << 18)]].astype(np.int64)
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(np.full(len(part), chunk)), pa.array(part + 1), *(pa.array(ids[codes[first[part] + i]]) for i in range(level)),
-                    pa.array(n[part].astype(np.int64))], names=["chunk", "place", *names, "n"])
-
-    marks = bitmaps.groupBy("chunk").agg(F.collect_list(F.struct("level", "bucket", "bits")).alias("marks"))  # of one chunk: bounded
-    if bitmaps.count() <= BROADCAST_BITMAPS:
-        marks = F.broadcast(marks)
-    marked = chunks.join(marks, "chunk").select("chunk", "lang", "codes", "words", "marks")
-    sure = _likely_groups(marked, level, seed, bits, least, buckets, f"likely-{level}")
-    ddl = "chunk long, place long, " + ", ".join(f"{w} long" for w in names) + ", n long"
-    return marked.join(sure, "chunk").select(*marked.columns, "sure").mapInArrow(run, ddl)
-
-
-def _frequent(counted: DataFrame, keys: list[str], least: int, name: str) -> tuple[DataFrame, DataFrame]:
-    """What is frequent: all its places in the chunks, as bitmaps, and one row a group with its count ``a``.
+                    pa.array(np.full(len(part), chunk)), pa.array(part), *(pa.array(ids[codes[part + i] - 1]) for i in range(level)),
+                    pa.array(n[x:x + (1 << 18)])], names=["chunk", "place", *names, "n"])
 
-    One shuffle gives both: a group's first chunk keeps its key beside its place.
-    """
-    own = Window.partitionBy(*keys)
-    found = counted.withColumns({"a": F.sum("n").over(own), "no": F.row_number().over(own.orderBy("chunk"))}).where(F.col("a") >= least)
-    once = lambda c: F.when(F.col("no") == 1, F.col(c)).alias(c)
-    found = materialise(found.select("chunk", "place", *map(once, (*keys, "a"))), name)
-    # one chunk's places together first: every task would send a bitmap for every chunk
-    placed = found.select("chunk", "place").repartition("chunk")
-    bitmaps = placed.groupBy("chunk", F.bitmap_bucket_number("place").alias("bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits")).withColumn("level", F.lit(len([k for k in keys if k != "more"])))
-    return materialise(bitmaps, f"{name}-bitmaps"), found.where("a IS NOT NULL").select(*keys, "a", "chunk")
+    ddl = "chunk long, place long, " + ", ".join(f"{w} long" for w in names) + ", n long"
+    return _beside(chunks, answers, "counts", "codes").mapInArrow(run, ddl)
 
 
 def _words(i: int, j: int) -> list[str]:
@@ -312,21 +373,22 @@ def frequent_groups(chunks: DataFrame, longest: int = LONGEST, least: int = LEAS
     """Frequent groups of each length (``w1.., a, chunk``: one they are in), and the seed and bits of the words' numbers.
 
     A word pair of a third of all texts reaches the shuffle once a chunk.  Words are
-    counted by 128 bits of hash; after that as few of the first ``bits`` (fewer in tests) as
+    counted by 128 bits of hash; in rows as few of the first ``bits`` (fewer in tests) as
     no two of them share stand for the frequent ones, as random bits don't compress in a shuffle.
     """
+    buckets = 1 + (chunks.agg(F.sum("n")).first()[0] or 0) // SUMMED_GROUPS
     seed = few = 0
     while not few:
-        bitmaps, named = _frequent(_count_words(chunks, seed, bits), ["w1", "more"], least, "words")
+        answers = {1: _sum_words(chunks, seed, bits, least, buckets)}
+        named = materialise(_count_words(chunks, answers, seed, bits, buckets), "words")
         few = enough_bits(named, bits)
         seed += not few
-    buckets = 1 + (chunks.agg(F.sum("n")).first()[0] or 0) // SUMMED_GROUPS
-    bits, groups = few, {1: named.select(_low(few), "more", "a", "chunk")}
+    groups = {1: named.select(_low(few), "more", "a", "chunk")}
     for level in range(2, longest + 1):
-        counted = _count_groups(chunks, bitmaps, level, seed, bits, least, buckets)
-        more, groups[level] = _frequent(counted, _words(1, level + 1), least, f"groups-{level}")
-        bitmaps = bitmaps.unionByName(more)
-    return groups, seed, bits
+        answers[level] = _sum_groups(chunks, answers, level, seed, bits, least, buckets)
+        counted = _count_groups(chunks, answers, level, seed, bits, few, buckets)
+        groups[level] = materialise(counted.select(*_words(1, level + 1), F.col("n").alias("a"), "chunk"), f"groups-{level}")
+    return groups, seed, few
 
 
 def _names(chunks: DataFrame, wanted: DataFrame, seed: int, bits: int) -> DataFrame:

@@ -42,8 +42,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/{app}/{name}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back.
+def materialise(df: DataFrame, name: str, *partition_by: str, **options: str) -> DataFrame:
+    """Write ``df`` once to the shared folder (with a writer's ``options``) and read it back.
 
     Cuts the lineage of iterative plans and keeps costly results (parsed html)
     through the loss of any executor.  Unlike a checkpoint the plan runs once,
@@ -51,7 +51,7 @@ def materialise(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    writer = df.write.mode("errorifexists")
+    writer = df.write.mode("errorifexists").options(**options)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)

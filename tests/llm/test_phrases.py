@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from docmonitor.llm import phrases
@@ -120,3 +121,71 @@ def test_rare_groups_stay_with_their_chunks(documents, texts, monkeypatch):
         for *_, words, n in [(tuple(r)[2:-1], r.n) for r in rows.collect()]:
             totals[words] += n
         assert totals and min(totals.values()) >= 10
+
+
+def test_frequent_groups_make_one_row(documents, texts, monkeypatch):
+    """A group that is frequent in many chunks leaves the count as one row, with the count of all of them."""
+    counted, kept = phrases._count_groups, []
+
+    def count(*args):
+        kept.append(counted(*args))
+        return kept[-1]
+
+    monkeypatch.setattr(phrases, "_count_groups", count)
+    monkeypatch.setattr(phrases, "SUMMED_GROUPS", 500)
+    chunks = phrases.occurrences(documents(texts), 200)
+    assert chunks.where("lang = 'en'").count() > 10
+    phrases.frequent_groups(chunks)
+    hand = Counter()
+    for _, text, lang, _ in texts:
+        for piece in PIECES.split((text or "").translate(A_Z)):
+            words = WORD.findall(piece)
+            hand.update((lang or "und", *words[i:i + m]) for m in (2, 3) for i in range(len(words) - m + 1))
+    for m, rows in zip((2, 3), kept):
+        rows = rows.collect()
+        assert len(rows) == len({tuple(r)[2:-1] for r in rows})
+        assert sorted(r.n for r in rows) == sorted(a for g, a in hand.items() if len(g) == m + 1 and a >= 10)
+
+
+def test_answers_of_shuffled_chunks(documents, texts, monkeypatch):
+    monkeypatch.setattr(phrases, "BROADCAST_ANSWERS", -1)
+    monkeypatch.setattr(phrases, "SUMMED_GROUPS", 300)
+    assert mined(documents(texts), chunk_words=500) == by_hand(texts)
+
+
+def test_answers_to_blocks(spark):
+    """Sums by key and further bits, large ones too; a word's second half may tell it apart."""
+    r = random.Random(5)
+    pool = [(r.choice([r.getrandbits(64), 7, 1 << 63, (1 << 64) - 1]), r.choice([0, 9, r.getrandbits(64)])) for _ in range(300)]
+    chunks = {c: {g: r.randint(1, 6) for g in r.sample(sorted(set(pool)), 150)} for c in (3, 1, 8)}
+    buckets, rows, dealt = 5, [], {}
+    for c, own in chunks.items():
+        keys, more = (np.array([g[i] for g in own], np.uint64) for i in (0, 1))
+        order, ends = phrases._dealt(keys, more, buckets)
+        dealt[c] = [list(own)[i] for i in order]
+        for batch in phrases._blocks(c, keys[order], more[order], np.array(list(own.values()))[order], ends):
+            rows += batch.to_pylist()
+    totals = sum((Counter(own) for own in chunks.values()), Counter())
+    wanted = {g: a for g, a in totals.items() if a >= 8}
+    blocks = spark.createDataFrame([tuple(x.values()) for x in rows], phrases._ddl(phrases.BLOCK))
+    got = [x.asDict() | {"level": 1} for x in phrases._answers(blocks, 8, buckets, "answers").collect()]
+    names, firsts = {}, []
+    for c in sorted(chunks):
+        own = [x for x in got if x["chunk"] == c]
+        numbers = phrases._numbers([x | {"values": x["numbers"]} for x in own], 1, buckets)
+        assert len(numbers) == len(dealt[c])
+        for g, number in zip(dealt[c], numbers.tolist()):
+            assert (number >= 0) == (g in wanted) and (number < 0 or names.setdefault(g, number) == number)
+        at, counts = phrases._firsts([x | {"values": x["counts"]} for x in own], 1)
+        firsts += [(dealt[c][i], a, c) for i, a in zip(at.tolist(), counts.tolist())]
+    assert len(set(names.values())) == len(wanted) == len(firsts)
+    assert sorted(firsts) == sorted((g, a, min(c for c in chunks if g in chunks[c])) for g, a in wanted.items())
+
+
+def test_blocks_are_short():
+    """Pairs of numbers of 16 bits take little more than the steps between them."""
+    keys = np.unique(np.random.default_rng(1).integers(0, 1 << 32, 20_000).astype(np.uint64))
+    (batch,) = phrases._blocks(1, keys, keys[:0], np.ones(len(keys), np.int64), [0, len(keys)])
+    row = batch.to_pylist()[0]
+    assert row["size"] == len(keys) and len(row["keys"]) + len(row["counts"]) < 3 * len(keys)
+    assert (np.cumsum(phrases._unpacked(row["keys"], np.uint64, len(keys)), dtype=np.uint64) == keys).all()
