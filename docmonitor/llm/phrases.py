@@ -11,8 +11,8 @@ extends it.
 Frequent groups of a length are numbered without large gaps, and a group of k + 1 words is the
 pair of the numbers of its first and last k words.  So a chunk's groups are a sorted list of
 short numbers, which is sent as steps from one to the next, a block for each bucket of groups.
-A bucket sums its blocks and answers each with the numbers of what is frequent in it; the first
-chunk that has a frequent group is told its count, too, and is the one that makes a row of it.
+A bucket sums its blocks and answers each with the numbers of what is frequent in it.  The answer
+to the first block with a frequent group holds its key and count, too, and makes a row of it.
 
 A word is known across chunks by 128 bits of hash of its language and itself, in rows a frequent
 one by as few of them as tell the frequent words apart; a seed under which two frequent words
@@ -173,12 +173,16 @@ def _ddl(columns: dict[str, str]) -> str:
 
 
 BLOCK = {"bucket": "long", "chunk": "long", "size": "long", "keys": "binary", "more": "binary", "counts": "binary"}
-ANSWER = {"bucket": "long", "chunk": "long", "size": "long", "flags": "binary", "numbers": "binary", "counts": "binary", "found": "long"}
+ANSWER = {"bucket": "long", "chunk": "long", "size": "long", "flags": "binary", "numbers": "binary",
+          "firsts": "long", "own": "binary", "keys": "binary", "more": "binary", "counts": "binary", "found": "long"}
 
 
 def _answers(blocks: DataFrame, least: int, buckets: int, name: str) -> DataFrame:
-    """What of each block is frequent (``ANSWER``): ``flags`` of its groups, and of the flagged ones the ``numbers``
-    in their bucket, and ``counts`` over all chunks in the first chunk, 0 in others; ``found`` in the whole bucket."""
+    """What of each block is frequent (``ANSWER``): ``flags`` of its groups and ``numbers`` of the flagged in their bucket.
+
+    Of the ``firsts`` of them, which are in no chunk before, it has the numbers (``own``), ``keys``, ``more`` and
+    ``counts`` over all chunks.  ``found`` is what is frequent in the bucket.
+    """
 
     def meet(blocks: pa.Table) -> pa.Table:
         blocks = blocks.sort_by("chunk")
@@ -186,6 +190,7 @@ def _answers(blocks: DataFrame, least: int, buckets: int, name: str) -> DataFram
         keys = np.concatenate([np.cumsum(_unpacked(b, np.uint64, n), dtype=np.uint64) for b, n in zip(blocks["keys"].to_pylist(), sizes)])
         counts = np.concatenate([_unpacked(b, np.uint32, n) for b, n in zip(blocks["counts"].to_pylist(), sizes)])
         if blocks["more"].null_count:
+            more = keys[:0]
             order = np.argsort(keys, kind="stable")  # a group's first chunk first
             new = np.diff(keys[order], prepend=~keys[order[:1]]) != 0
         else:
@@ -198,12 +203,17 @@ def _answers(blocks: DataFrame, least: int, buckets: int, name: str) -> DataFram
         numbers, firsts = np.zeros(len(keys), np.uint32), np.zeros(len(keys), np.int64)
         numbers[order] = np.where(frequent, np.cumsum(frequent), 0).astype(np.uint32)[np.cumsum(new) - 1]
         firsts[order[at[frequent]]] = sums[frequent]
-        ends = np.cumsum(sizes)[:-1]
-        parts = [(x, x > 0, y) for x, y in zip(np.split(numbers, ends), np.split(firsts, ends))]
+        kept, first, ends = numbers > 0, firsts > 0, np.cumsum(sizes)
+        parts = [(slice(end - n, end), kept[end - n:end], first[end - n:end]) for n, end in zip(sizes, ends.tolist())]
+        steps = lambda x, mask: _packed(np.diff(x[mask], prepend=x.dtype.type(0)))
         return pa.table([blocks["bucket"], blocks["chunk"], blocks["size"],
-                         pa.array([np.packbits(kept).tobytes() for _, kept, _ in parts], pa.binary()),
-                         pa.array([_packed(np.diff(x[kept], prepend=np.uint32(0))) for x, kept, _ in parts], pa.binary()),
-                         pa.array([_packed(y[kept]) for _, kept, y in parts], pa.binary()),
+                         pa.array([np.packbits(k).tobytes() for _, k, _ in parts], pa.binary()),
+                         pa.array([steps(numbers[at], k) for at, k, _ in parts], pa.binary()),
+                         pa.array([int(np.count_nonzero(f)) for _, _, f in parts], pa.int64()),
+                         pa.array([steps(numbers[at], f) for at, _, f in parts], pa.binary()),
+                         pa.array([steps(keys[at], f) for at, _, f in parts], pa.binary()),
+                         pa.array([_packed(more[at][f]) if len(more) else None for at, _, f in parts], pa.binary()),
+                         pa.array([_packed(firsts[at][f]) for at, _, f in parts], pa.binary()),
                          pa.array(np.full(len(sizes), frequent.sum()))], names=list(ANSWER))
 
     answers = materialise(blocks.groupBy("bucket").applyInArrow(meet, _ddl(ANSWER)), name)
@@ -213,44 +223,43 @@ def _answers(blocks: DataFrame, least: int, buckets: int, name: str) -> DataFram
     return answers
 
 
-def _flags(answer: dict) -> np.ndarray:
-    return np.unpackbits(np.frombuffer(answer["flags"], np.uint8), count=answer["size"]).view(bool)
-
-
-def _of_level(answers: list, level: int) -> list:
-    return sorted((a for a in answers if a["level"] == level), key=lambda a: a["bucket"])
+def _everywhere(numbers: bytes, n: int, bucket: int, buckets: int) -> np.ndarray:
+    """A bucket's numbers, which count from 1, as numbers that are valid everywhere."""
+    return (np.cumsum(_unpacked(numbers, np.uint32, n), dtype=np.int64) - 1) * buckets + bucket
 
 
 def _numbers(answers: list, level: int, buckets: int) -> np.ndarray:
     """Everywhere valid numbers of a chunk's groups of ``level`` words, as dealt; -1: not frequent."""
     parts = [np.zeros(0, np.int64)]
-    for answer in _of_level(answers, level):
-        kept = _flags(answer)
+    for answer in sorted((a for a in answers if a["level"] == level), key=lambda a: a["bucket"]):
+        kept = np.unpackbits(np.frombuffer(answer["flags"], np.uint8), count=answer["size"]).view(bool)
         parts.append(np.full(len(kept), -1, np.int64))
-        own = np.cumsum(_unpacked(answer["values"], np.uint32, np.count_nonzero(kept)), dtype=np.int64)  # from 1
-        parts[-1][kept] = (own - 1) * buckets + answer["bucket"]
+        parts[-1][kept] = _everywhere(answer["numbers"], np.count_nonzero(kept), answer["bucket"], buckets)
     return np.concatenate(parts)
 
 
-def _firsts(answers: list, level: int) -> tuple[np.ndarray, np.ndarray]:
-    """Which of a chunk's groups as dealt are frequent and in no chunk before, and their counts."""
-    parts, at = [(np.zeros(0, np.int64), np.zeros(0, np.int64))], 0
-    for answer in _of_level(answers, level):
-        kept = np.flatnonzero(_flags(answer))
-        counts = _unpacked(answer["values"], np.int64, len(kept))
-        parts.append((at + kept[counts > 0], counts[counts > 0]))
-        at += answer["size"]
-    return tuple(np.concatenate(x) for x in zip(*parts))
+def _found(answers: DataFrame, buckets: int) -> DataFrame:
+    """``chunk, number, key, more, n``: each frequent group once, with its first chunk and its count in all."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk, bucket, size, own, keys, more, counts in rows_of_all(batches):
+            keys = np.cumsum(_unpacked(keys, np.uint64, size), dtype=np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([
+                pa.array(np.full(size, chunk)), pa.array(_everywhere(own, size, bucket, buckets)), pa.array(keys),
+                pa.nulls(size, pa.int64()) if more is None else pa.array(_unpacked(more, np.int64, size)),
+                pa.array(_unpacked(counts, np.int64, size))], names=["chunk", "number", "key", "more", "n"])
 
-def _beside(chunks: DataFrame, answers: dict[int, DataFrame], last: str, *columns: str) -> DataFrame:
-    """Columns of the chunks beside the answers to their blocks: numbers, of the longest groups ``last`` instead."""
+    return answers.where("firsts > 0").select("chunk", "bucket", "firsts", "own", "keys", "more", "counts").mapInArrow(
+        run, "chunk long, number long, key long, more long, n long")
+
+
+def _beside(chunks: DataFrame, answers: dict[int, DataFrame]) -> DataFrame:
+    """The chunks beside the numbers in the answers to their blocks."""
     rows = reduce(DataFrame.unionByName, [a.select("chunk", F.struct(
-        F.lit(level).alias("level"), "bucket", "size", "flags", F.col(last if level == max(answers) else "numbers").alias("values")).alias("answer"))
-        for level, a in answers.items()])
-    size = rows.agg(F.sum(F.octet_length("answer.flags") + F.octet_length("answer.values") + 48)).first()[0] or 0
+        F.lit(level).alias("level"), "bucket", "size", "flags", "numbers").alias("answer")) for level, a in answers.items()])
+    size = rows.agg(F.sum(F.octet_length("answer.flags") + F.octet_length("answer.numbers") + 48)).first()[0] or 0
     own = rows.groupBy("chunk").agg(F.collect_list("answer").alias("answers"))  # of one chunk: bounded
-    return chunks.join(F.broadcast(own) if size <= BROADCAST_ANSWERS else own, "chunk").select("chunk", "lang", *columns, "words", "answers")
+    return chunks.join(F.broadcast(own) if size <= BROADCAST_ANSWERS else own, "chunk").select("chunk", "lang", "codes", "words", "answers")
 
 
 def _hashes(lang: str, words: bytes, seed: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -271,23 +280,9 @@ def _sum_words(chunks: DataFrame, seed: int, bits: int, least: int, buckets: int
     return _answers(chunks.select("chunk", "lang", "words", "counts").mapInArrow(run, _ddl(BLOCK)), least, buckets, "sums-1")
 
 
-def _count_words(chunks: DataFrame, answers: dict[int, DataFrame], seed: int, bits: int, buckets: int) -> DataFrame:
-    """``w1, more, a, chunk``: each frequent word once, by 64 and 64 more bits."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk, lang, words, own in _one_by_one(batches):
-            ids, more = _hashes(lang, words, seed, bits)
-            at, a = _firsts(own, 1)
-            at = _dealt(more, ids, buckets)[0][at]
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (
-                ids[at].view(np.int64), more[at].view(np.int64), a, np.full(len(at), chunk))], names=["w1", "more", "a", "chunk"])
-
-    return _beside(chunks, answers, "counts").mapInArrow(run, "w1 long, more long, a long, chunk long")
-
-
 def _chunk_groups(codes: np.ndarray, ids: np.ndarray, more: np.ndarray, answers: list, level: int,
-                  buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[int]]:
-    """Keys, counts and a place each of a chunk's groups of ``level`` words, as dealt, and the buckets' ends.
+                  buckets: int) -> tuple[np.ndarray, np.ndarray, list[int]]:
+    """Keys and counts of a chunk's groups of ``level`` words, as dealt, and the buckets' ends.
 
     ``starts`` and ``numbers`` are the relation of k words: sorted positions, and the frequent
     group that starts there.
@@ -315,7 +310,7 @@ def _chunk_groups(codes: np.ndarray, ids: np.ndarray, more: np.ndarray, answers:
             numbers[order] = found[np.cumsum(new) - 1]
             kept = numbers >= 0
             starts, numbers = starts[kept], numbers[kept]
-    return keys[dealt], np.diff(at, append=len(order))[dealt], starts[order[at]][dealt], ends
+    return keys[dealt], np.diff(at, append=len(order))[dealt], ends
 
 
 def _sum_groups(chunks: DataFrame, answers: dict[int, DataFrame], level: int, seed: int, bits: int, least: int, buckets: int) -> DataFrame:
@@ -323,30 +318,19 @@ def _sum_groups(chunks: DataFrame, answers: dict[int, DataFrame], level: int, se
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk, lang, planes, words, own in _one_by_one(batches):
-            keys, counts, _, ends = _chunk_groups(_codes(planes), *_hashes(lang, words, seed, bits), own, level, buckets)
+            keys, counts, ends = _chunk_groups(_codes(planes), *_hashes(lang, words, seed, bits), own, level, buckets)
             yield from _blocks(chunk, keys, keys[:0], counts, ends)
 
-    return _answers(_beside(chunks, answers, "numbers", "codes").mapInArrow(run, _ddl(BLOCK)), least, buckets, f"sums-{level}")
+    return _answers(_beside(chunks, answers).mapInArrow(run, _ddl(BLOCK)), least, buckets, f"sums-{level}")
 
 
-def _count_groups(chunks: DataFrame, answers: dict[int, DataFrame], level: int, seed: int, bits: int, few: int, buckets: int) -> DataFrame:
-    """``chunk, place, w1.., n``: each frequent group of ``level`` words once, at a place of its first chunk."""
-    names = _words(1, level + 1)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk, lang, planes, words, own in _one_by_one(batches):
-            codes, (ids, more) = _codes(planes), _hashes(lang, words, seed, bits)
-            places = _chunk_groups(codes, ids, more, own, level, buckets)[2]
-            at, n = _firsts(own, level)
-            ids = (ids & np.uint64((1 << few) - 1)).view(np.int64)
-            for x in range(0, len(at), 1 << 18):
-                part = places[at[x:x + (1 << 18)]].astype(np.int64)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.full(len(part), chunk)), pa.array(part), *(pa.array(ids[codes[part + i] - 1]) for i in range(level)),
-                    pa.array(n[x:x + (1 << 18)])], names=["chunk", "place", *names, "n"])
-
-    ddl = "chunk long, place long, " + ", ".join(f"{w} long" for w in names) + ", n long"
-    return _beside(chunks, answers, "counts", "codes").mapInArrow(run, ddl)
+def _count_groups(answers: DataFrame, shorter: DataFrame, level: int, buckets: int) -> DataFrame:
+    """``chunk, number, w1.., n``: each frequent group of ``level`` words once, from the groups with a word less."""
+    found = _found(answers, buckets).select("chunk", "number", F.shiftrightunsigned("key", MOST_BITS).alias("first"),
+                                            F.col("key").bitwiseAND(F.lit((1 << MOST_BITS) - 1)).alias("last"), "n")
+    left = shorter.select(F.col("number").alias("first"), *_words(1, level))
+    right = shorter.select(F.col("number").alias("last"), F.col(f"w{level - 1}").alias(f"w{level}"))
+    return found.join(left, "first").join(right, "last").select("chunk", "number", *_words(1, level + 1), "n")
 
 
 def _words(i: int, j: int) -> list[str]:
@@ -370,7 +354,7 @@ def enough_bits(named: DataFrame, bits: int) -> int:
 
 def frequent_groups(chunks: DataFrame, longest: int = LONGEST, least: int = LEAST,
                     bits: int = 64) -> tuple[dict[int, DataFrame], int, int]:
-    """Frequent groups of each length (``w1.., a, chunk``: one they are in), and the seed and bits of the words' numbers.
+    """Frequent groups of each length (``w1.., a, number, chunk``: one they are in), and the seed and bits of the words' numbers.
 
     A word pair of a third of all texts reaches the shuffle once a chunk.  Words are
     counted by 128 bits of hash; in rows as few of the first ``bits`` (fewer in tests) as
@@ -380,14 +364,15 @@ def frequent_groups(chunks: DataFrame, longest: int = LONGEST, least: int = LEAS
     seed = few = 0
     while not few:
         answers = {1: _sum_words(chunks, seed, bits, least, buckets)}
-        named = materialise(_count_words(chunks, answers, seed, bits, buckets), "words")
+        named = materialise(_found(answers[1], buckets).select(
+            F.col("more").alias("w1"), F.col("key").alias("more"), F.col("n").alias("a"), "chunk", "number"), "words")
         few = enough_bits(named, bits)
         seed += not few
-    groups = {1: named.select(_low(few), "more", "a", "chunk")}
+    groups = {1: named.select(_low(few), "more", "a", "chunk", "number")}
     for level in range(2, longest + 1):
         answers[level] = _sum_groups(chunks, answers, level, seed, bits, least, buckets)
-        counted = _count_groups(chunks, answers, level, seed, bits, few, buckets)
-        groups[level] = materialise(counted.select(*_words(1, level + 1), F.col("n").alias("a"), "chunk"), f"groups-{level}")
+        counted = _count_groups(answers[level], groups[level - 1], level, buckets)
+        groups[level] = materialise(counted.withColumnRenamed("n", "a"), f"groups-{level}")
     return groups, seed, few
 
 

@@ -168,18 +168,18 @@ def test_answers_to_blocks(spark):
     totals = sum((Counter(own) for own in chunks.values()), Counter())
     wanted = {g: a for g, a in totals.items() if a >= 8}
     blocks = spark.createDataFrame([tuple(x.values()) for x in rows], phrases._ddl(phrases.BLOCK))
-    got = [x.asDict() | {"level": 1} for x in phrases._answers(blocks, 8, buckets, "answers").collect()]
-    names, firsts = {}, []
+    answers = phrases._answers(blocks, 8, buckets, "answers")
+    got, names = [x.asDict() | {"level": 1} for x in answers.collect()], {}
     for c in sorted(chunks):
         own = [x for x in got if x["chunk"] == c]
-        numbers = phrases._numbers([x | {"values": x["numbers"]} for x in own], 1, buckets)
+        numbers = phrases._numbers(own, 1, buckets)
         assert len(numbers) == len(dealt[c])
         for g, number in zip(dealt[c], numbers.tolist()):
             assert (number >= 0) == (g in wanted) and (number < 0 or names.setdefault(g, number) == number)
-        at, counts = phrases._firsts([x | {"values": x["counts"]} for x in own], 1)
-        firsts += [(dealt[c][i], a, c) for i, a in zip(at.tolist(), counts.tolist())]
-    assert len(set(names.values())) == len(wanted) == len(firsts)
-    assert sorted(firsts) == sorted((g, a, min(c for c in chunks if g in chunks[c])) for g, a in wanted.items())
+    signed = lambda x: x - (1 << 64 if x >> 63 else 0)
+    assert len(set(names.values())) == len(wanted)
+    assert sorted(tuple(x) for x in phrases._found(answers, buckets).collect()) == sorted(
+        (min(c for c in chunks if g in chunks[c]), names[g], *map(signed, g), a) for g, a in wanted.items())
 
 
 def test_blocks_are_short():
