@@ -51,7 +51,7 @@ def not_seen(
     """Files no earlier run recorded, whatever kind they were recorded as.
 
     No broadcast hint: the state grows with every run, so Spark picks the join
-    by measured size, and shuffles both sides once the state is large.
+    by measured size (``session.configure``), and shuffles both sides once the state is large.
     """
     known = seen.where(F.col("kind").isin(*kinds)).select(F.col("key").alias("_key"))
     return files.join(known, F.col(on) == F.col("_key"), "left_anti")

@@ -138,4 +138,4 @@ def published_documents(spark: SparkSession, root: str) -> DataFrame:
             raise
         return spark.createDataFrame([], "event_data_key string, source string, batch long")
     finished = store.committed_batches(spark, root).select("source", F.col("batch_id").alias("batch"))
-    return rows.join(finished, ["source", "batch"], "left_semi")
+    return rows.join(F.broadcast(finished), ["source", "batch"], "left_semi")

@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+PLANNED_BROADCAST, MEASURED_BROADCAST = "spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -15,10 +16,17 @@ def configure(spark: SparkSession) -> SparkSession:
     Publication dates are formatted in UTC.  Adaptive execution sizes shuffle
     partitions from real map output, turns sort-merge joins into broadcast joins
     only when the measured side is small, and splits skewed join partitions.
+    No join is planned as a broadcast for its files' size: a few compressed megabytes of
+    state are a gigabyte of keys on the driver.  The session's bound holds for measured rows.
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    bound = spark.conf.get(PLANNED_BROADCAST)
+    if not bound.startswith("-"):  # else set before, or broadcasts aren't wanted
+        if spark.conf.get(MEASURED_BROADCAST, None) is None:
+            spark.conf.set(MEASURED_BROADCAST, bound)
+        spark.conf.set(PLANNED_BROADCAST, "-1")
     return spark
 
 

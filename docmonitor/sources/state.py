@@ -119,7 +119,8 @@ def _last_compaction(spark: SparkSession, root: str) -> tuple[DataFrame, int]:
 def _state_of(spark: SparkSession, root: str, runs: DataFrame) -> DataFrame:
     """State of ``runs``, those before the newest compaction from its copy.
 
-    The runs, a short table, prune the state's partitions; they never pass the driver.
+    The runs, one short row each, are sent to the state and prune its partitions: no state is
+    shuffled for them.
     """
     covered, version = _last_compaction(spark, root)
     live = runs.select("source", "batch_id").join(covered, ["source", "batch_id"], "left_anti")
@@ -130,7 +131,7 @@ def _state_of(spark: SparkSession, root: str, runs: DataFrame) -> DataFrame:
         *schema.SEEN.fields, *ORIGIN, T.StructField("source", T.StringType()), T.StructField("batch", T.LongType()),
     ])
     rows = _read_or_empty(spark, table, f"{root}/seen")
-    rows = rows.join(live.withColumnRenamed("batch_id", "batch"), ["source", "batch"], "left_semi")
+    rows = rows.join(F.broadcast(live.withColumnRenamed("batch_id", "batch")), ["source", "batch"], "left_semi")
     origin = {own.name: F.coalesce(own.name, F.col(part)) for own, part in zip(ORIGIN, ("source", "batch"))}
     return rows.withColumns(origin).drop("source", "batch")
 
@@ -151,7 +152,7 @@ def read_seen_as_of(spark: SparkSession, root: str, time: dt.datetime) -> DataFr
     covered, _ = _last_compaction(spark, root)
     rows = _state_of(spark, root, runs.unionByName(covered).distinct())
     own = runs.toDF(*(c.name for c in ORIGIN))
-    return rows.join(own, [c.name for c in ORIGIN], "left_semi").select(*schema.SEEN.fieldNames())
+    return rows.join(F.broadcast(own), [c.name for c in ORIGIN], "left_semi").select(*schema.SEEN.fieldNames())
 
 
 def write_progress(deltas: DataFrame, root: str, batch_id: int, source: str = BATCH) -> DataFrame:
@@ -166,7 +167,7 @@ def read_progress(spark: SparkSession, root: str) -> DataFrame:
     table = T.StructType([
         *schema.PROGRESS.fields, T.StructField("source", T.StringType()), T.StructField("batch", T.LongType())])
     done = committed_batches(spark, root).select("source", F.col("batch_id").alias("batch"))
-    return _read_or_empty(spark, table, f"{root}/progress").join(done, ["source", "batch"], "left_semi").select(
+    return _read_or_empty(spark, table, f"{root}/progress").join(F.broadcast(done), ["source", "batch"], "left_semi").select(
         *schema.PROGRESS.fieldNames())
 
 
