@@ -19,6 +19,10 @@ REASONS = (
 )
 
 
+#: A limit's rows a range: only the range that holds its last one is sorted, in one place.
+ROWS_PER_RANGE = 1_000_000
+
+
 def parse_http_date(df: DataFrame) -> DataFrame:
     """Publication date columns from the Last-Modified text; null when malformed."""
     ts = F.col("publication_ts")
@@ -171,7 +175,7 @@ def _nth_key(rows: DataFrame, n: int, order: list[str]) -> Column:
     The keys are range-partitioned and written; counts, one number a range, tell which
     range holds the n-th, and only that one is sorted.
     """
-    placed = _in_ranges(rows.select(*order), order)
+    placed = _in_ranges(rows.select(*order), order, -(-n // ROWS_PER_RANGE))
     before, at, wanted = 0, None, n
     for r in placed.groupBy("_range").count().orderBy("_range").toLocalIterator():  # one row a range
         at, wanted = r["_range"], n - before
@@ -217,14 +221,14 @@ def global_rank(df: DataFrame, *order: str) -> DataFrame:
     )
 
 
-def _in_ranges(df: DataFrame, order: list[str]) -> DataFrame:
+def _in_ranges(df: DataFrame, order: list[str], least: int = 1) -> DataFrame:
     """The rows with ``_range``, rising with ``order``, as a written table.
 
     Bounds come from a sample, so ``df`` is scanned twice and written once; there are as many
-    ranges as the session has shuffle partitions.
+    ranges as the session has shuffle partitions, ``least`` at least.
     """
     spark = df.sparkSession
-    ranges = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    ranges = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")), least)
     return materialise(
         df.repartitionByRange(ranges, *order).withColumn("_range", F.spark_partition_id()), "ranges",
     )

@@ -134,6 +134,11 @@ def walk_all(pages: DataFrame, start_url: str, params: RunParams) -> Walk:
 def walk(pages: DataFrame, start_url: str, params: RunParams) -> DataFrame:
     """``(crawl_path, department, year, subdiv, page, project, source_page_url, title, source_file_url)``.
 
-    ``crawl_path`` orders rows as a page-by-page reader would meet them.
+    ``crawl_path`` orders rows as a page-by-page reader would meet them.  A project without a title
+    has a null here; a request that a titled project makes too is that one's.
     """
-    return kept(walk_all(pages, start_url, params).files)
+    files = walk_all(pages, start_url, params).files
+    titled, untitled = kept(files), files.where(F.col(DROP) == "Empty project").drop(DROP)
+    asked = titled.select(request_identity(F.col("source_file_url")).alias("_asked"))
+    alone = untitled.join(asked, request_identity(F.col("source_file_url")) == F.col("_asked"), "left_anti")
+    return titled.unionByName(alone)
